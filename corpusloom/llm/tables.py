@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from corpusloom.llm import bpe_trie, media, packing, quality_rules
+from corpusloom.llm import bpe_trie, media, packing, quality_rules, simhash, toxicity
 from corpusloom.llm.common import documents
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -22,10 +22,18 @@ def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_report(documents(spark, sf_dir))
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(spark, documents(spark, sf_dir), sf_dir)
+
+
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(documents(spark, sf_dir), BYTE_BPE)
 
 
+def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.simhash_components(documents(spark, sf_dir))
+
+
 def op10_media(spark: SparkSession, sf_dir: str) -> DataFrame:
     return media.text_media(documents(spark, sf_dir)).drop("tile")
 
@@ -33,7 +41,9 @@ def op10_media(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
     "op2_quality": op2_quality,
+    "op4_toxicity": op4_toxicity,
     "op5_packing": op5_packing,
+    "op9_simhash": op9_simhash,
     "op10_media": op10_media,
 }
 ORACLE: dict[str, str] = {}
