@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from corpusloom.llm import bpe_trie, media, packing, quality_rules, simhash, toxicity
+from corpusloom.llm import bpe_trie, media, packing, quality_rules, simhash, toxicity, warc
 from corpusloom.llm.common import documents
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -30,6 +30,10 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(documents(spark, sf_dir), BYTE_BPE)
 
 
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.warc_round_trip(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+
+
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_components(documents(spark, sf_dir))
 
@@ -43,6 +47,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_quality": op2_quality,
     "op4_toxicity": op4_toxicity,
     "op5_packing": op5_packing,
+    "op8_warc": op8_warc,
     "op9_simhash": op9_simhash,
     "op10_media": op10_media,
 }
