@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from corpusloom.llm import bpe_trie, media, packing, quality_rules, simhash, toxicity, warc
+from corpusloom.llm import bpe_trie, media, packing, quality_rules, simhash, substring_dedup, toxicity, warc
 from corpusloom.llm.common import documents
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -22,6 +22,10 @@ def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_report(documents(spark, sf_dir))
 
 
+def op3_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.dedup_report(documents(spark, sf_dir))
+
+
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(spark, documents(spark, sf_dir), sf_dir)
 
@@ -45,6 +49,7 @@ def op10_media(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
     "op2_quality": op2_quality,
+    "op3_substrings": op3_substrings,
     "op4_toxicity": op4_toxicity,
     "op5_packing": op5_packing,
     "op8_warc": op8_warc,
