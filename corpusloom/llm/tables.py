@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from corpusloom.llm import bpe_trie, media, packing, quality_rules, simhash, substring_dedup, toxicity, warc
+from corpusloom.llm import attention_lm, bpe_trie, media, packing, quality_rules, simhash, substring_dedup, toxicity, warc
 from corpusloom.llm.common import documents
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -34,6 +34,10 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(documents(spark, sf_dir), BYTE_BPE)
 
 
+def op6_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return attention_lm.lm_scores(documents(spark, sf_dir), BYTE_BPE)
+
+
 def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.warc_round_trip(spark.read.parquet(f"{sf_dir}/pages.parquet"))
 
@@ -52,6 +56,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_substrings": op3_substrings,
     "op4_toxicity": op4_toxicity,
     "op5_packing": op5_packing,
+    "op6_lm": op6_lm,
     "op8_warc": op8_warc,
     "op9_simhash": op9_simhash,
     "op10_media": op10_media,
