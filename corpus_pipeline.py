@@ -1,4 +1,8 @@
-"""The corpus pipeline: quality rules, toxicity, near-duplicates, repeated passages, packing."""
+"""The corpus pipeline: quality rules, toxicity, near-duplicates, repeated passages, packing.
+
+Each stage takes (spark, docs, sf_dir) and returns a DataFrame, which is written as Parquet and read again as the docs of the
+next. All but the last return the columns of documents. Clean documents pass every filter unchanged.
+"""
 
 from __future__ import annotations
 
@@ -6,20 +10,43 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from corpusloom.llm import packing, quality_rules
+from corpusloom.llm import packing, quality_rules, simhash, substring_dedup, toxicity
 from corpusloom.llm.common import written
 from corpusloom.llm.tables import BYTE_BPE
 
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that no rule rejects."""
     return quality_rules.filter_quality(docs)
 
 
+def civil(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that score below one half; the grammar's weights are fitted on labelled documents among them."""
+    return toxicity.filter_toxicity(docs, toxicity.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))
+
+
+def distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document, that with the smallest id, of each group of near-duplicates."""
+    return simhash.one_of_each(docs)
+
+
+def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without the passages of 50 words or more that a document with a smaller id holds."""
+    return substring_dedup.remove_repeats(docs)
+
+
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of all texts with their places in sequences of at most 1024 tokens."""
     return packing.pack(docs, BYTE_BPE)
 
 
-STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [("quality_rules", good_quality), ("packing", packed)]
+STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("quality_rules", good_quality),
+    ("toxicity", civil),
+    ("simhash", distinct),
+    ("substring_dedup", without_repeats),
+    ("packing", packed),
+]
 ORACLE_SQL = None  # scores, components and packings have no SQL form; tests hold the stages against brute force
 
 
