@@ -1,0 +1,74 @@
+"""Text reuse: which texts contain nine tenths of a shorter one's eight-word shingles.
+
+Equal texts are one class, compared once. Sketches of the 32 least shingle hashes meet in an equi-join on their values;
+pairs that share four or more are verified on the full shingle sets. Relations hold between class representatives (the
+smallest ids); members() gives the rest, so that copies are never expanded into pairs.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from corpusloom.functions import text as T
+from corpusloom.operators.graph import components
+from corpusloom.session import spread, written
+
+SHINGLE, SKETCH, MIN_WORDS, MIN_SHARED = 8, 32, 50, 4
+#: Containment of the shorter text, in tenths.
+TENTHS = 9
+
+
+def members(docs: DataFrame) -> DataFrame:
+    """doc_id and representative (the smallest doc_id with an equal canonical text). docs: doc_id, outlet, text."""
+    marked = docs.where("text is not null").select("doc_id", F.sha2(T.canonical(F.col("text")), 256).alias("sha"))
+    first = marked.groupBy("sha").agg(F.min("doc_id").alias("representative"))
+    return marked.join(first, "sha").select("doc_id", "representative")
+
+
+def sketched(docs: DataFrame) -> DataFrame:
+    """Representatives of at least 50 words with their shingle set and sketch."""
+    mine = members(docs).where("doc_id = representative").select("doc_id")
+    tokens = spread(docs).join(mine, "doc_id", "left_semi").select("doc_id", "outlet", T.words(F.col("text")).alias("w")).where(F.size("w") >= MIN_WORDS)
+    hashed = F.array_sort(F.array_distinct(F.transform(T.grams(F.col("w"), SHINGLE), T.short_hash)))
+    return tokens.select("doc_id", "outlet", F.size("w").alias("words"), hashed.alias("shingles")).withColumn("sketch", F.slice("shingles", 1, SKETCH))
+
+
+def relations(docs: DataFrame) -> DataFrame:
+    """Later text, earlier text (by id), kind of relation and of match, and what was measured."""
+    made = written(sketched(docs), "sketches")
+    values = made.select("doc_id", F.explode("sketch").alias("value"))
+    other = values.select(F.col("doc_id").alias("target"), "value")
+    pairs = values.join(other, "value").where("doc_id > target").groupBy("doc_id", "target").count().where(F.col("count") >= MIN_SHARED).select("doc_id", "target")
+    late = made.select("doc_id", "outlet", "words", "shingles")
+    early = made.select(*[F.col(c).alias(f"t_{c}") for c in late.columns])
+    both = pairs.join(late, "doc_id").join(early, F.col("target") == F.col("t_doc_id"))
+    n, m, common = F.size("shingles"), F.size("t_shingles"), F.size(F.array_intersect("shingles", "t_shingles"))
+    return (
+        both.select("doc_id", "target", "outlet", "t_outlet", "words", "t_words", n.alias("n"), m.alias("m"), common.alias("common"))
+        .where(F.col("common") * 10 >= F.least("n", "m") * TENTHS)
+        .select(
+            F.col("doc_id").alias("document_id"), F.col("target").alias("target_document_id"),
+            F.when(F.col("outlet").eqNullSafe(F.col("t_outlet")), "duplicate_of").otherwise("syndicated_copy_of").alias("relation"),
+            F.when(F.col("common") * 10 >= F.greatest("n", "m") * TENTHS, "near_identical").otherwise("contained").alias("text_match"),
+            F.col("common").cast("long").alias("shared_shingles"), F.col("n").cast("long").alias("shingles"), F.col("m").cast("long").alias("target_shingles"),
+            F.col("words").cast("long").alias("words"), F.col("t_words").cast("long").alias("target_words"),
+        )
+    )
+
+
+def clusters(docs: DataFrame) -> DataFrame:
+    """doc_id and cluster_id (the smallest id reached by relations or equal texts) of every text of 50 words or more."""
+    found = components(relations(docs).select("document_id", "target_document_id"))
+    group = members(docs)
+    return group.join(found, group.representative == found.u, "left").select("doc_id", F.coalesce("v", "representative").alias("cluster_id"))
+
+
+def contamination(docs: DataFrame, held: DataFrame) -> DataFrame:
+    """Documents that hold shingles of held-out items: doc_id, item_id, shared and item's number of shingles. held: item_id, text."""
+    def grams(df: DataFrame, key: str) -> DataFrame:
+        return spread(df).select(key, T.words(F.col("text")).alias("w")).select(key, F.explode(F.array_distinct(T.grams(F.col("w"), SHINGLE))).alias("gram"))
+
+    own = grams(held, "item_id")
+    size = own.groupBy("item_id").agg(F.count("*").alias("item_shingles"))
+    return grams(docs, "doc_id").join(own, "gram").groupBy("doc_id", "item_id").agg(F.count("*").alias("shared")).join(size, "item_id").select("doc_id", "item_id", "shared", "item_shingles")

@@ -6,8 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from corpusloom.plans import quality, reuse
+
 #: Modules of this package with QUERIES and ORACLE.
-MODULES: tuple = ()
+MODULES = (reuse, quality)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
