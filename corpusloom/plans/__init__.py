@@ -6,10 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from corpusloom.plans import quality, reuse
+from corpusloom.plans import quality, reuse, selection, sequences
 
 #: Modules of this package with QUERIES and ORACLE.
-MODULES = (reuse, quality)
+MODULES = (reuse, quality, selection, sequences)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
