@@ -6,10 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from corpusloom.plans import joins, quality, reuse, selection, sequences
+from corpusloom.plans import estimates, joins, pages, quality, reuse, sampling, selection, sequences
 
 #: Modules of this package with QUERIES and ORACLE.
-MODULES = (reuse, quality, selection, sequences, joins)
+MODULES = (reuse, quality, selection, sequences, joins, sampling, estimates, pages)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
