@@ -21,8 +21,8 @@ def read_strict(spark: SparkSession, path: str, schema: StructType | str) -> Dat
 def read_lenient(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     """JSON lines without those that don't parse (a torn last line)."""
     full = StructType.fromJson(schema.jsonValue()).add("_torn", "string")
-    rows = spark.read.schema(full).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_torn").json(path)
-    return rows.where("_torn is null").drop("_torn")
+    parsed = F.from_json("value", full, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_torn"})
+    return spark.read.text(path).select(parsed.alias("r")).where("r._torn is null and r is not null").select(*[F.col("r")[f.name].alias(f.name) for f in schema])
 
 
 def chained(rows: DataFrame, order: str, line: str = "line") -> DataFrame:
