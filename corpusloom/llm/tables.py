@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from corpusloom.llm import attention_lm, bpe_trie, media, packing, quality_rules, simhash, substring_dedup, toxicity, warc
+from corpusloom.llm import attention_lm, bpe_trie, chat, media, packing, quality_rules, simhash, substring_dedup, toxicity, warc
 from corpusloom.llm.common import documents
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -38,6 +38,10 @@ def op6_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return attention_lm.lm_scores(documents(spark, sf_dir), BYTE_BPE)
 
 
+def op7_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.chat_report(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+
+
 def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.warc_round_trip(spark.read.parquet(f"{sf_dir}/pages.parquet"))
 
@@ -57,6 +61,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_toxicity": op4_toxicity,
     "op5_packing": op5_packing,
     "op6_lm": op6_lm,
+    "op7_chat": op7_chat,
     "op8_warc": op8_warc,
     "op9_simhash": op9_simhash,
     "op10_media": op10_media,
