@@ -1,9 +1,7 @@
-"""What the training-data operators share: reading, scratch tables in the shared folder, Arrow row loops."""
+"""What the training-data operators share: reading, folds, Arrow row loops, and the library's scratch tables."""
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 import zlib
 from collections.abc import Callable, Iterable, Iterator
 
@@ -11,6 +9,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from corpusloom.session import cut, scratch_path, shared_dir, written
+
+__all__ = ["SLICE", "cut", "documents", "fold_column", "fold_of", "id_text", "row_map", "scratch_path", "shared_dir", "written"]
+
 #: Rows that a task turns into Python objects at a time.
 SLICE = 256
 
@@ -24,34 +26,6 @@ def id_text(df: DataFrame) -> DataFrame:
     return df.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The cluster's shared folder; a temporary one only where none is set (local tests)."""
-    found = spark.conf.get("spark.checkpoint.dir", None)
-    if not found:
-        sc = spark.sparkContext
-        if sc._jsc.sc().getCheckpointDir().isEmpty():
-            sc.setCheckpointDir(tempfile.mkdtemp(prefix="corpusloom-"))
-        found = sc._jsc.sc().getCheckpointDir().get()
-    return found.rstrip("/")
-
-
-def scratch_path(spark: SparkSession, label: str) -> str:
-    return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
-
-
-def written(df: DataFrame, label: str) -> DataFrame:
-    """df as a Parquet table in the shared folder: the lineage ends there and any executor can be lost."""
-    path = scratch_path(df.sparkSession, label)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-def cut(df: DataFrame) -> DataFrame:
-    """df behind a reliable checkpoint, for loops."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
 def row_map(fn: Callable[..., Iterable[tuple]], schema: pa.Schema) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """A mapInArrow function that calls fn with each row's columns and emits the tuples it yields."""
 
