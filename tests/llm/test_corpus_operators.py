@@ -195,7 +195,7 @@ def _model():
     rng = np.random.default_rng(8)
     for k in ("cw", "mw"):
         p[k] = rng.standard_normal(p[k].shape) * 0.2
-    return p, lm.windows(rng.integers(0, lm.SMALL + 1, 70))
+    return p, lm.windows([rng.integers(0, lm.SMALL + 1, 70)])[:4]
 
 
 def test_gradient():
@@ -217,17 +217,27 @@ def test_gradient():
 def test_each_id_is_scored_once_and_causally():
     p, _ = _model()
     ids = np.arange(1, 100)
-    inputs, ok, targets, scored = lm.windows(ids)
+    inputs, ok, targets, scored = lm.windows([ids])[:4]
     assert targets[scored].tolist() == [*ids, 0]
     full = lm.log_probabilities(p, inputs, ok, targets, scored)[scored]
-    changed = lm.windows(np.append(ids[:60], ids[60:] + 500))
+    changed = lm.windows([np.append(ids[:60], ids[60:] + 500)])[:4]
     other = lm.log_probabilities(p, *changed)[changed[3]]
     assert np.allclose(full[:60], other[:60]) and not np.allclose(full[60:], other[60:])
 
 
+def test_windows_of_many_texts_are_those_of_each():
+    rng = np.random.default_rng(10)
+    texts = [rng.integers(0, 50, n) for n in (0, 1, 17, 18, 19, 100)]
+    *whole, owner = lm.windows(texts)
+    for k, t in enumerate(texts):
+        for a, b in zip(whole, lm.windows([t])[:4]):
+            ok = lm.windows([t])[1] if a.shape[1] == lm.PLACES else lm.windows([t])[3]
+            assert (a[owner == k][ok] == b[ok]).all()
+
+
 def test_a_distribution_sums_to_one():
     p, _ = _model()
-    inputs, ok, targets, scored = lm.windows(np.array([5, 9, 2000]))
+    inputs, ok, targets, scored = lm.windows([np.array([5, 9, 1000])])[:4]
     total = sum(np.exp(lm.log_probabilities(p, inputs, ok, np.full_like(targets, t), scored)[scored][2]) for t in range(lm.SMALL + 1))
     assert abs(total - 1) < 1e-6
 
