@@ -26,8 +26,8 @@ from tokenizers import Tokenizer
 
 from corpusloom.llm.common import id_text, row_map
 
-#: Words that a worker remembers at most; beyond it the memory starts anew.
-MEMO_WORDS = 250_000
+#: Chunks that a worker remembers, and as many of the generation before; also the words it remembers.
+MEMO_WORDS = 150_000
 #: The final symbol of a word lies this much higher than the same symbol inside it.
 FINAL = 0xF0000
 #: White space on which Python and the tokenizer may not agree; such texts go through the library's own splitter.
@@ -53,7 +53,12 @@ class TrieCoder:
         self.names = {i: t for t, i in model["vocab"].items()} | {t["id"]: t["content"] for t in data["added_tokens"]}
         self.added = {t["content"]: t["id"] for t in data["added_tokens"]}
         self.token_of = {self._folded(t): i for t, i in model["vocab"].items()}
-        self.longest = max(map(len, self.token_of))
+        tails: dict[str, set[int]] = {}
+        for t in self.token_of:
+            tails.setdefault(t[-2:], {1}).add(len(t))
+        #: Lengths, falling, of the tokens that end in two given symbols.
+        self.lengths = {t: tuple(sorted(n, reverse=True)) for t, n in tails.items()}
+        self.decimal = {i: b"%d" % i for i in self.names}
         self.rank, self.left, self.right, self.merge = {}, {}, {}, {}
         for r, (a, b) in enumerate(m if isinstance(m, list) else m.split(" ") for m in model["merges"]):
             x, y = self._folded(a), self._folded(b)
@@ -68,6 +73,8 @@ class TrieCoder:
         self.table = byte_symbols()
         self.alone_memo: dict[str, bool] = {}
         self.apart_memo: dict[tuple[str, str], bool] = {}
+        self.older: dict[str, tuple[int, bytes, bytes, tuple[int, ...]]] = {}
+        self.word_memo: dict[str, tuple[int, ...]] = {}
         self.memo: dict[str, tuple[int, bytes, bytes, tuple[int, ...]]] = {}
 
     def _folded(self, token: str) -> str:
@@ -101,14 +108,13 @@ class TrieCoder:
         self.apart_memo[a, b] = out
         return out
 
-    def last_token(self, path: str, states: list[str]) -> str:
-        """State of the node at the end of path; states[k] is that of its first k symbols."""
-        end, tokens = len(path), self.token_of
-        for start in range(max(0, end - self.longest), end):
-            token = path[start:]
-            if token in tokens and (self.alone(token) if not start else self.apart(states[start], token)):
+    def last_token(self, word: str, end: int, states: list[str]) -> str:
+        """State of the node of word's first `end` symbols; states[k] is that of its first k."""
+        tokens = self.token_of
+        for n in self.lengths.get(word[end - 2 : end], (1,)) if end > 1 else (1,):
+            if n <= end and (token := word[end - n : end]) in tokens and (self.apart(states[end - n], token) if n < end else self.alone(token)):
                 return token
-        raise ValueError(f"no token ends at {path!r}")
+        raise ValueError(f"no token ends at {word[:end]!r}")
 
     def alone(self, token: str) -> bool:
         """Whether a token's own symbols encode to it: merged step by step, once for each token."""
@@ -134,7 +140,7 @@ class TrieCoder:
                 shared += 1
             del states[shared + 1 :]
             for k in range(shared + 1, len(word) + 1):
-                states.append(self.last_token(word[:k], states))
+                states.append(self.last_token(word, k, states))
             ids, at = [], len(word)
             while at:
                 ids.append(self.token_of[states[at]])
@@ -160,12 +166,28 @@ class TrieCoder:
         return [self.symbols(w) for w in self.words(chunk)]
 
     def learn(self, chunks: Iterable[str]) -> None:
-        """Puts the chunks that are new into the memory."""
-        new = {c: self._words_of(c) for c in {*chunks} if c not in self.memo}
-        known = self.encode_words({*chain.from_iterable(new.values())})
+        """Puts chunks that are new into the memory, what the last generation knew and otherwise by the trie."""
+        new = {}
+        for c in {*chunks}:
+            if c not in self.memo:
+                if (kept := self.older.get(c)) is not None:
+                    self.memo[c] = kept
+                else:
+                    new[c] = self._words_of(c)
+        known, unknown = {}, []
+        for w in {*chain.from_iterable(new.values())}:
+            if (ids := self.word_memo.get(w)) is not None:
+                known[w] = ids
+            else:
+                unknown.append(w)
+        known |= (found := self.encode_words(unknown))
+        if len(self.word_memo) > MEMO_WORDS:
+            self.word_memo.clear()
+        self.word_memo |= found
+        decimal, names = self.decimal, self.names
         for chunk, words in new.items():
-            ids = tuple(i for w in words for i in known[w])
-            self.memo[chunk] = (len(ids), b" ".join([b"%d" % i for i in ids]), self.decode(ids).encode(), ids)
+            ids = known[words[0]] if len(words) == 1 else tuple(i for w in words for i in known[w])
+            self.memo[chunk] = (len(ids), b" ".join([decimal[i] for i in ids]), " ".join([names[i] for i in ids]).encode(), ids)
 
     def decode(self, ids: Iterable[int]) -> str:
         """The file names no decoder, so the tokens' strings are joined by spaces, special ones included."""
@@ -177,7 +199,7 @@ class TrieCoder:
         split = [[[p] if p in self.added else self.chunks(p) for p in ps if p] for ps in parts]
         wanted = {*chain.from_iterable(chain.from_iterable(split))}
         if len(self.memo) > MEMO_WORDS:
-            self.memo.clear()
+            self.memo, self.older = {}, self.memo
         for name, i in self.added.items():
             if name in wanted:
                 self.memo[name] = (1, b"%d" % i, name.encode(), (i,))
@@ -198,8 +220,8 @@ def bpe_round_trip(df: DataFrame, path: str, outputs: bool = False) -> DataFrame
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tool = coder(path)
         for batch in batches:
-            for at in range(0, batch.num_rows, 64):
-                part = batch.slice(at, 64)
+            for at in range(0, batch.num_rows, 128):
+                part = batch.slice(at, 128)
                 rows = []
                 for doc_id, coded in zip(part.column(0).to_pylist(), tool.code(part.column(1).to_pylist())):
                     decoded = b" ".join([x[2] for x in coded])
