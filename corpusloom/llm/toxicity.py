@@ -4,7 +4,7 @@ Five deterministic transducers read the classes of a text's words: insult, threa
 Their composition, one table, says of every insult or threat in which clause it stands: plain, aimed at a target, negated,
 or reported. A text's score is a logistic function of the weights gathered for each kind of clause. Word weights and the
 function's coefficients are fitted on a bounded sample of labelled rows (FIT_ROWS); learned insults join the fixed ones
-when a large share of the toxic texts, and few others, hold them.
+when a few toxic texts, and hardly any others, hold them, however rare their language is.
 
 Null and empty texts: the score of a text without matches. Repeated rows: equal scores. A null doc_id counts as the empty
 id. Without usable labels the fixed weights hold. Labels, lang, source and doc_id are no inputs of a score.
@@ -29,8 +29,8 @@ from corpusloom.llm.common import SLICE, fold_column, fold_of, id_text, row_map
 FOLDS = 5
 #: Labelled rows, those with the smallest hashes of their ids, on which weights are fitted.
 FIT_ROWS = 20_000
-#: A learned insult stands in this share of the toxic sample texts at least, and this many times as often as in others.
-LEARNED_SHARE, LEARNED_ODDS, LEARNED_WORDS = 0.08, 20.0, 200
+#: A learned insult stands in this many toxic sample texts at least, and this many times as often as in others. All that do are learned: the sample bounds them.
+LEARNED_TEXTS, LEARNED_ODDS = 4, 20.0
 
 # Word classes of the grammar.
 INSULTS = "idiot idiots moron morons stupid scum trash loser losers clown clowns pathetic worthless disgusting imbecile vermin filth dumb garbage crétin connard abruti salaud dummkopf trottel abschaum idioten estúpido imbécil basura escoria"
@@ -193,8 +193,8 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> Model:
     counted = words.select("toxic", F.explode("words").alias("word")).groupBy("word").agg(F.sum("toxic").alias("p"), F.sum(1 - F.col("toxic")).alias("q"))
     odds = F.log(((F.col("p") + 0.5) / (bad + 1)) / ((F.col("q") + 0.5) / (good + 1)))
     fixed = [*base_classes()]
-    strong = counted.withColumn("odds", odds).where(((F.col("p") >= LEARNED_SHARE * bad) & (F.col("odds") > math.log(LEARNED_ODDS))) | F.col("word").isin(fixed))
-    found = strong.orderBy(F.col("word").isin(fixed).desc(), F.col("odds").desc(), "word").limit(len(fixed) + LEARNED_WORDS).collect()
+    strong = counted.withColumn("odds", odds).where(((F.col("p") >= LEARNED_TEXTS) & (F.col("odds") > math.log(LEARNED_ODDS))) | F.col("word").isin(fixed))
+    found = strong.orderBy(F.col("word").isin(fixed).desc(), F.col("odds").desc(), "word").collect()
     known = base_classes()
     weights = {r.word: min(4.0, max(0.1, r.odds / 2)) for r in found if known.get(r.word, INSULT) in (INSULT, THREAT)}
 

@@ -1,6 +1,7 @@
 """BPE, quality rules, packing, media and toxicity against the library, brute force and round trips."""
 
 import hashlib
+import itertools
 import random
 import zlib
 from collections import Counter
@@ -209,3 +210,27 @@ def test_toxicity_held_out(spark, odd):
     assert all(0 <= r.score <= 1 for r in toxicity.score_toxicity(odd, toxicity.fit(odd, known.limit(0))).collect())
     assert toxicity.score_toxicity(odd.limit(0), model).count() == 0
     assert [r.doc_id for r in toxicity.filter_toxicity(df, model).where("doc_id < 6").collect()] == [1, 2, 3, 4]
+
+
+def test_toxicity_of_rare_languages(spark):
+    """A language with 3 % of the toxic texts has its words learned, and as many words as there are."""
+    rng = random.Random(7)
+    plain, bad = (["".join(w) for w in itertools.product(x, "abcdefghijklmnop", "aeioutlnrs")] for x in (["pala", "bra"], ["zor", "ple"]))  # 320 each
+    docs, labels = [], []
+    for k in range(1500):
+        words = [rng.choice(plain) for _ in range(60)]
+        toxic = k % 5 == 0
+        rare = k % 100 == 0  # 15 of the 300 toxic texts
+        for _ in range(3 * toxic):
+            words.insert(rng.randrange(60), rng.choice(["vrolk", "brimt"]) if rare else rng.choice(bad))
+        if toxic and not rare:
+            words += bad[k // 5 % 4 :: 4]  # each in many texts
+        docs.append((k, " ".join(words), "x", "y"))
+        labels.append((k, 1, int(toxic)))
+    model = toxicity.fit(spark.createDataFrame(docs, SCHEMA), spark.createDataFrame(labels, "doc_id long, quality int, toxic int"))
+    assert {"vrolk", "brimt"} <= {*model.weights}
+    assert not {*plain} & {*model.weights}
+    assert {*bad} <= {*model.weights}
+    got = {r.doc_id: r for r in toxicity.score_toxicity(spark.createDataFrame(docs, SCHEMA), model).collect()}
+    held = [k for k in got if got[k].held_out]
+    assert any(k % 100 == 0 for k in held) and all(got[k].predicted == labels[k][2] for k in held)
