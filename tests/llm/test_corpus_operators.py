@@ -235,6 +235,18 @@ def test_windows_of_many_texts_are_those_of_each():
             assert (a[owner == k][ok] == b[ok]).all()
 
 
+def test_every_training_document_is_trained_on(spark):
+    vocabulary = lm.Vocabulary.of({i: 1000 - i % 997 for i in range(3000)}, 50, 50257)
+    before = lm.packed(lm.initial(vocabulary))
+    ids = [i for i in range(20) if zlib.crc32(str(i).encode()) % 7 != 2]
+    for i in [*ids[:4], None]:
+        df = spark.createDataFrame([(i, "the red fox runs")], "doc_id long, text string")
+        assert (lm.packed(lm.train(df, PATH, vocabulary)) != before).any()
+    df = spark.createDataFrame([(i,) for i in [*range(200), None]], "doc_id long")
+    read = Counter(r.doc_id for k in range(lm.ROUNDS) for r in lm.share(df, k).collect())
+    assert read == Counter(i for i in [*range(200), None] if zlib.crc32(b"" if i is None else str(i).encode()) % 7 != 2)
+
+
 def test_a_distribution_sums_to_one():
     p, _ = _model()
     inputs, ok, targets, scored = lm.windows([np.array([5, 9, 1000])])[:4]
