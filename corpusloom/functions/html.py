@@ -7,7 +7,6 @@ is navigation, a wall or a repetition. The version is part of every result: a ch
 
 from __future__ import annotations
 
-import gzip
 import hashlib
 import json
 import re
@@ -215,13 +214,35 @@ def metadata(html: str | None) -> dict[str, tuple[str | None, str]]:
     return {k: next(((v, b) for b, v in found if v), (None, "unknown")) for k, found in sources.items()}
 
 
+class Undecodable(ValueError):
+    """A compressed body that is refused; its reason says why."""
+
+
+def inflated(body: bytes, encoding: str) -> bytes:
+    """The whole of a gzip (all members) or deflate (zlib or raw) body; one that is broken, incomplete or over INFLATED bytes is refused."""
+    for bits in (31,) if encoding == "gzip" else (15, -15):
+        out, left = b"", body
+        try:
+            while True:
+                stream = zlib.decompressobj(bits)
+                out += stream.decompress(left, INFLATED + 1 - len(out))
+                if len(out) > INFLATED:
+                    raise Undecodable("decoded body exceeds the size limit")
+                if not stream.eof:
+                    raise Undecodable(f"{encoding}: incomplete stream")
+                left = stream.unused_data
+                if bits != 31 or not left.startswith(b"\x1f\x8b"):
+                    return out
+        except zlib.error as error:
+            if bits != 15:
+                raise Undecodable(f"{encoding}: {error}") from error
+    raise AssertionError("raw deflate is tried last")
+
+
 def decoded(body: bytes, encoding: str | None = None, charset: str | None = None) -> tuple[str, str, int]:
     """Text, charset with its basis, and how many characters were replaced: BOM, header, meta, then UTF-8."""
-    if encoding in ("gzip", "deflate"):
-        try:
-            body = gzip.GzipFile(fileobj=__import__("io").BytesIO(body)).read(INFLATED) if encoding == "gzip" else zlib.decompressobj().decompress(body, INFLATED)
-        except (OSError, zlib.error, EOFError):
-            pass
+    if encoding in ("gzip", "deflate") and body:
+        body = inflated(body, encoding)
     for mark, name in ((b"\xef\xbb\xbf", "utf-8-sig"), (b"\xff\xfe", "utf-16"), (b"\xfe\xff", "utf-16")):
         if body.startswith(mark):
             return (t := body.decode(name, "replace")), "bom", t.count("�")

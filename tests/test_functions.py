@@ -110,3 +110,18 @@ def test_gate_reasons(spark):
     rules = quality.RuleSet("t", min_words=50, min_function_share=0.0)
     got = {r.doc_id: r.reasons for r in quality.decide(quality.features(docs, "doc_id", "source"), rules, outlet="source", page="doc_id", order="doc_id").collect()}
     assert got == {1: "no_body", 2: "repetitive", 3: "repetitive,duplicate_of_earlier", 4: "too_short"}
+
+
+def test_compressed_bodies_are_whole_or_refused(monkeypatch):
+    import gzip
+    import zlib
+
+    monkeypatch.setattr(html, "INFLATED", 1000)
+    whole = b"a" * 1000
+    raw = zlib.compressobj(wbits=-15)
+    for body, encoding in ((gzip.compress(whole), "gzip"), (gzip.compress(whole[:400]) + gzip.compress(whole[:600]), "gzip"), (zlib.compress(whole), "deflate"), (raw.compress(whole) + raw.flush(), "deflate")):
+        assert html.decoded(body, encoding)[0] == whole.decode()
+    for pack, encoding in ((gzip.compress, "gzip"), (zlib.compress, "deflate")):
+        for body, reason in ((pack(whole + b"a"), "size limit"), (pack(whole)[:-6], "incomplete"), (b"\xff\xffplain", encoding)):
+            with pytest.raises(html.Undecodable, match=reason):
+                html.decoded(body, encoding)
