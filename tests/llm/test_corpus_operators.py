@@ -189,22 +189,33 @@ def test_lm(spark):
     assert lm.lm_scores(df.limit(0), PATH).count() == 0
 
 
+def _rows(n=3000):
+    return [(lm.FIRST, i, 1000 - i % 997, 3) for i in range(n)] + [(lm.LATER, i, 5, 2) for i in range(n)] + [(i, i + 1, 4, 2) for i in range(n)] + [(i, lm.STOP, 7, 2) for i in range(n)]
+
+
 def _model():
-    vocabulary = lm.Vocabulary.of({i: 1000 - i % 997 for i in range(3000)}, 50, 50257)
-    p = {k: w.astype(np.float64) for k, w in lm.initial(vocabulary).items()}
+    """Parameters in double precision, and windows over 40 words of 1 to 4 ids each."""
+    p = {k: w.astype(np.float64) for k, w in lm.initial(lm.Vocabulary.of(_rows(), 50, 50257)).items()}
     rng = np.random.default_rng(8)
     for k in ("cw", "mw"):
         p[k] = rng.standard_normal(p[k].shape) * 0.2
-    return p, lm.windows([rng.integers(0, lm.SMALL + 1, 70)])[:4]
+    lengths = rng.integers(1, 5, 40)
+    flat, first = rng.integers(0, lm.INPUTS + 1, lengths.sum()), rng.integers(0, lm.SMALL + 1, 40)
+    at, ok, targets, scored = lm.windows([rng.integers(0, 40, 70)])[:4]
+    return p, flat, lengths, (at, ok, first[targets], scored)
+
+
+def _scores(p, flat, lengths, w):
+    return lm.log_probabilities(p, lm.word_vectors(p["embed"], flat, lengths), *w)
 
 
 def test_gradient():
-    p, w = _model()
-    loss = lambda: -lm.log_probabilities(p, *w).sum() / w[3].sum()
-    g = lm.gradient(p, *w)
+    p, flat, lengths, w = _model()
+    loss = lambda: -_scores(p, flat, lengths, w).sum() / w[3].sum()
+    g = lm.gradient(p, flat, lengths, *w)
     rng = np.random.default_rng(9)
     for name in p:
-        at = (int(w[0][1, 10]), 3) if name == "embed" else tuple(int(rng.integers(0, s)) for s in p[name].shape)
+        at = (int(flat[lengths[: int(w[0][1, 10])].sum()]), 3) if name == "embed" else tuple(int(rng.integers(0, s)) for s in p[name].shape)
         old = p[name][at]
         p[name][at] = old + 1e-4
         up = loss()
@@ -214,17 +225,69 @@ def test_gradient():
         assert abs((up - down) / 2e-4 - g[name][at]) < 1e-7
 
 
-def test_each_id_is_scored_once_and_causally():
-    p, _ = _model()
-    ids = np.arange(1, 100)
-    inputs, ok, targets, scored = lm.windows([ids])[:4]
-    assert targets[scored].tolist() == [*ids, 0]
-    full = lm.log_probabilities(p, inputs, ok, targets, scored)[scored]
-    changed = lm.windows([np.append(ids[:60], ids[60:] + 500)])[:4]
-    other = lm.log_probabilities(p, *changed)[changed[3]]
+def test_attention_is_that_of_plain_loops():
+    p, flat, lengths, (at, ok, targets, scored) = _model()
+    got, ends = _scores(p, flat, lengths, (at, ok, targets, scored)), np.cumsum(lengths)
+    vector = lambda w: sum(p["embed"][i] for i in flat[ends[w] - lengths[w] : ends[w]])
+    soft = lambda z: np.exp(z - z.max()) / np.exp(z - z.max()).sum()
+    for i in range(len(at)):
+        x = [vector(at[i, j]) + p["place"][j] for j in range(lm.PLACES)]
+        for j in range(lm.CONTEXT, lm.PLACES):
+            if not scored[i, j - lm.CONTEXT]:
+                continue
+            seen = [m for m in range(j + 1) if ok[i, m]]
+            a = soft(np.array([(x[j] @ p["q"]) @ (x[m] @ p["k"]) / math.sqrt(lm.WIDTH) for m in seen]))
+            h = x[j] + sum(w * (x[m] @ p["v"]) for w, m in zip(a, seen)) @ p["o"]
+            t = int(targets[i, j - lm.CONTEXT])
+            c = t // lm.MEMBERS
+            want = math.log(soft(h @ p["cw"] + p["cb"])[c]) + (math.log(soft(h @ p["mw"][c] + p["mb"][c])[t % lm.MEMBERS]) if t < lm.SMALL else 0)
+            assert abs(want - got[i, j - lm.CONTEXT]) < 1e-5
+
+
+def test_each_word_is_scored_once_and_causally():
+    p, flat, lengths, _ = _model()
+    words = np.arange(99) % 39 + 1
+    score = lambda words: (lambda at, ok, targets, scored, _: (_scores(p, flat, lengths, (at, ok, targets, scored))[scored], targets[scored]))(*lm.windows([words]))
+    full, targets = score(words)
+    assert targets.tolist() == [*words, 0]
+    other, _ = score(np.append(words[:60], words[60:][::-1]))
     assert np.allclose(full[:60], other[:60]) and not np.allclose(full[60:], other[60:])
 
 
+def test_words_of_one_first_id_share_their_probability():
+    """The dictionary's words and all spelled ones together: one, but for the spelled ones that the dictionary holds."""
+    speller = lm.Speller(PATH)
+    counts = {b"then": 5, b"thenx": 2, b"thenxx": 1, b"zebra": 9}
+    rows, after = Counter(), Counter()
+    for w, c in counts.items():
+        ids, prev = [*speller.encode([w])[0].tolist(), lm.STOP], lm.FIRST
+        for i in ids:
+            for q in (prev,) if prev == lm.FIRST else (prev, lm.LATER):
+                rows[q, i] += c
+                after[q, i] += 1
+            prev = i
+    v = lm.Vocabulary.of([(*k, n, after[k]) for k, n in rows.items()], 3, speller.size)
+    d = lm.Dictionary.of(counts, v, speller)
+    ids, lengths = speller.encode([*counts])
+    first, spelled = ids[np.cumsum(lengths) - lengths], np.exp(v.spelled(ids, lengths))
+    for i in set(first):
+        assert abs(np.exp(d.tail[first == i]).sum() + np.exp(d.escape[i]) * (1 - spelled[first == i].sum()) - 1) < 1e-9
+    one = speller.encode([b"then"])[0]  # what follows an id, over the whole vocabulary
+    every = np.append(np.arange(speller.size), speller.size)
+    keys = (one[-1] << 32) + every
+    share = np.where(np.isin(keys, v.pairs), 0, v.later[every] - v.held[one[-1]])
+    known = np.isin(v.pairs, keys)
+    assert abs(np.exp(share[share != 0]).sum() + np.exp(v.pair_log[known] - v.held[one[-1]]).sum() - 1) < 1e-6
+
+
+def test_words_are_encoded_as_alone():
+    speller = lm.Speller(PATH)
+    words = [w.encode() for w in ["the", "it's", "don't.", "zß", "x\u00a0y", "\u2003", "a,b", "…", "12ab", "\x1cq", "'s", "日本語", "e\u0301"]]
+    for some in (words, words[:4], words[6:9], [words[4]], []):
+        ids, lengths = speller.encode(some)
+        assert ids.tolist() == [i for w in some for i in speller.plain(" " + w.decode())] and len(lengths) == len(some)
+
+
 def test_windows_of_many_texts_are_those_of_each():
     rng = np.random.default_rng(10)
     texts = [rng.integers(0, 50, n) for n in (0, 1, 17, 18, 19, 100)]
@@ -235,25 +298,56 @@ def test_windows_of_many_texts_are_those_of_each():
             assert (a[owner == k][ok] == b[ok]).all()
 
 
+def _told(spark):
+    vocabulary = lm.Vocabulary.of(_rows(), 50, lm.Speller(PATH).size)
+    return spark.sparkContext.broadcast((vocabulary, lm.Dictionary.of({b"red": 3}, vocabulary, lm.Speller(PATH))))
+
+
 def test_every_training_document_is_trained_on(spark):
-    vocabulary = lm.Vocabulary.of({i: 1000 - i % 997 for i in range(3000)}, 50, 50257)
-    before = lm.packed(lm.initial(vocabulary))
+    told = _told(spark)
+    before = lm.packed(lm.initial(told.value[0]))
     ids = [i for i in range(20) if zlib.crc32(str(i).encode()) % 7 != 2]
     for i in [*ids[:4], None]:
         df = spark.createDataFrame([(i, "the red fox runs")], "doc_id long, text string")
-        assert (lm.packed(lm.train(df, PATH, vocabulary)) != before).any()
+        assert (lm.packed(lm.train(df, PATH, told)) != before).any()
     df = spark.createDataFrame([(i,) for i in [*range(200), None]], "doc_id long")
     read = Counter(r.doc_id for k in range(lm.ROUNDS) for r in lm.share(df, k).collect())
     assert read == Counter(i for i in [*range(200), None] if zlib.crc32(b"" if i is None else str(i).encode()) % 7 != 2)
 
 
+def test_vectors_are_summed_level_by_level(spark):
+    df = spark.range(0, 300, 1, 40).selectExpr("id + 1 AS tokens", "cast(null AS binary) AS flat").drop("flat")
+
+    def vectors(batches):
+        import pyarrow as pa
+
+        for b in batches:
+            n = b.column(0).to_pylist()
+            yield pa.record_batch([pa.array(n, pa.int64()), pa.array([np.array([k, 2], np.float32).tobytes() for k in n], pa.binary())], names=["tokens", "flat"])
+
+    r = lm.total_of(df.mapInArrow(vectors, "tokens long, flat binary")).collect()
+    assert len(r) == 1 and r[0].tokens == 45150 and np.frombuffer(r[0].flat, np.float32).tolist() == [45150, 600]
+
+
+def test_most_frequent_keeps_the_limit(spark):
+    df = spark.createDataFrame([(k, c) for k, c in enumerate([100] * 3 + [50] * 4 + [1] * 90)], "k int, c long")
+    for limit, n in ((2, 0), (3, 3), (6, 3), (7, 7), (96, 7), (97, 97), (1000, 97)):
+        assert lm.most_frequent(df, df.c, limit).count() == n
+
+
 def test_a_distribution_sums_to_one():
-    p, _ = _model()
-    inputs, ok, targets, scored = lm.windows([np.array([5, 9, 1000])])[:4]
-    total = sum(np.exp(lm.log_probabilities(p, inputs, ok, np.full_like(targets, t), scored)[scored][2]) for t in range(lm.SMALL + 1))
+    p, flat, lengths, _ = _model()
+    at, ok, targets, scored = lm.windows([np.array([5, 9, 30])])[:4]
+    total = sum(np.exp(_scores(p, flat, lengths, (at, ok, np.full_like(targets, t), scored))[scored][2]) for t in range(lm.SMALL + 1))
     assert abs(total - 1) < 1e-6
 
 
+def test_the_model_beats_the_base_on_held_out_rows(spark):
+    df = tables.op6_lm(spark, "/root/testdata/sf0.1").where("held_out")
+    r = df.selectExpr("sum(score) / sum(n_tokens) AS model", "sum(base_score) / sum(n_tokens) AS base").first()
+    assert r.model > r.base + 0.05
+
+
 def test_pipeline_stages(spark):
     sf = "/root/testdata/sf0.001"
     docs = spark.read.parquet(f"{sf}/documents.parquet")
