@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from corpusloom.llm.common import SLICE, fold_column, fold_of, id_text, row_map
 
 FOLDS = 5
-#: Labelled rows, those with the smallest hashes of their ids, on which weights are fitted.
+#: Labelled rows, chosen by hashes of their ids, on which weights are fitted at most.
 FIT_ROWS = 20_000
 #: A learned insult stands in this many toxic sample texts at least, and this many times as often as in others. All that do are learned: the sample bounds them.
 LEARNED_TEXTS, LEARNED_ODDS = 4, 20.0
@@ -177,10 +177,21 @@ class Model:
     coefficients: np.ndarray
 
 
+def hash_sample(df: DataFrame, key: str, rows: int, slots: int = 4096) -> DataFrame:
+    """At most `rows` rows, by the key's hash: its slots are counted, and taken whole from the first on, as far as they fit."""
+    slot = F.pmod(F.xxhash64(key), F.lit(slots))
+    taken, room = [], rows
+    for r in sorted(df.groupBy(slot.alias("slot")).count().collect()):  # `slots` rows at most
+        if r["count"] <= room:
+            taken.append(r.slot)
+            room -= r["count"]
+    return df if len(taken) == slots else df.where(slot.isin(taken))
+
+
 def fit(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> Model:
     """From labelled rows outside the held-out fold, at most `rows` of them; what reaches the driver is bounded by that."""
     labels = labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & (fold_column(F.col("doc_id"), FOLDS) != 0))
-    chosen = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic")).orderBy(F.xxhash64("doc_id"), "doc_id", "toxic").limit(rows)
+    chosen = hash_sample(labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic")), "doc_id", rows)
     texts = id_text(docs).join(F.broadcast(chosen), "doc_id")  # at most `rows` pairs of numbers
 
     schema = pa.schema([("toxic", pa.int32()), ("words", pa.list_(pa.string()))])
