@@ -20,7 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from corpusloom.llm.common import id_text, row_map
+from corpusloom.llm.common import id_text, row_map, written
 
 BLOCK = 576
 WIDTH = 24
@@ -63,6 +63,10 @@ def decode_netpbm(data: bytes) -> np.ndarray:
     top = numbers[2] if len(numbers) > 2 else 1
     depth = 3 if kind in (b"P3", b"P6") else 1
     n = width * height * depth
+    if width < 1 or height < 1 or not 0 < top < 65536:
+        raise ValueError("Netpbm sizes out of range")
+    if n > 8 * len(data):
+        raise ValueError("Netpbm samples end early")
     if kind == b"P4":
         rows = np.frombuffer(data, np.uint8, height * ((width + 7) // 8), at + 1).reshape(height, -1)
         out = 255 * (1 - np.unpackbits(rows, axis=1)[:, :width])
@@ -86,6 +90,8 @@ def decode_bmp(data: bytes) -> np.ndarray:
     start, (size, width, height, _, bits, packing) = struct.unpack_from("<I", data, 10)[0], struct.unpack_from("<IiiHHI", data, 14)
     if packing not in (0, 3) or bits not in (8, 24, 32):
         raise ValueError("BMP form not supported")
+    if width < 1 or height == 0:
+        raise ValueError("BMP sizes out of range")
     stride = (width * bits // 8 + 3) // 4 * 4
     rows = np.frombuffer(data, np.uint8, stride * abs(height), start).reshape(abs(height), stride)[:, : width * bits // 8]
     rows = rows[::-1] if height > 0 else rows
@@ -145,7 +151,7 @@ def media_tiles(df: DataFrame, column: str = "media") -> DataFrame:
     def one(media_id: int, data: bytes | None) -> Iterator[tuple]:
         try:
             image, tile, mark = features(data or b"")
-        except (ValueError, struct.error, IndexError):
+        except (ValueError, struct.error, IndexError, OverflowError):
             yield media_id, None, None, None, None
         else:
             yield media_id, image.shape[1], image.shape[0], tile, mark
@@ -160,14 +166,19 @@ def stored(text: str) -> tuple[int, bytes]:
     return len(raw), encode_pgm(np.frombuffer(padded, np.uint8).reshape(-1, WIDTH))
 
 
+def text_files(df: DataFrame) -> DataFrame:
+    """doc_id, n_bytes and the graymap file (media) of each text."""
+    schema = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("media", pa.binary())])
+    return id_text(df).mapInArrow(row_map(lambda doc_id, text: [(doc_id, *stored(text))], schema), "doc_id long, n_bytes long, media binary")
+
+
 def text_media(df: DataFrame) -> DataFrame:
-    """Each text stored as a graymap, read back, with its tile and hash."""
+    """Each text stored as a graymap in a table of the shared folder, read back from it, with its tile and hash."""
     schema = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("payload_bytes", pa.int64()), ("payload_sha256", pa.string()), ("tail_crc32", pa.int64()), ("media_bytes", pa.int64()), ("media_sha256", pa.string()), ("feature", pa.string()), ("tile", pa.binary())])
 
-    def one(doc_id: int, text: str) -> Iterator[tuple]:
-        n, data = stored(text)
+    def one(doc_id: int, n: int, data: bytes) -> Iterator[tuple]:
         image, tile, mark = features(data)
         payload = image.tobytes()
         yield doc_id, n, len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-32:]), len(data), hashlib.sha256(data).hexdigest(), mark, tile
 
-    return id_text(df).mapInArrow(row_map(one, schema), "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string, tile binary")
+    return written(text_files(df), "media").mapInArrow(row_map(one, schema), "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string, tile binary")

@@ -51,7 +51,7 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_media(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return media.text_media(documents(spark, sf_dir)).drop("tile")
+    return media.text_media(documents(spark, sf_dir))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {

@@ -169,6 +169,33 @@ def test_plain_netpbm_and_bad_files(spark):
     assert media.decode(b"P4\n9 1\n\xff\x80").tolist() == [[0] * 9]
     df = spark.createDataFrame([(1, bytearray(media.encode_pgm(np.zeros((4, 4), np.uint8)))), (2, bytearray(b"P5 9 9 255 x")), (3, None), (4, bytearray(b"BM"))], "id long, media binary")
     assert [r.media_id for r in media.media_tiles(df).collect() if r.dhash is not None] == [1]
+    bad = [b"P5 99999999999 999999999 255\n", b"P5 0 0 255\n", b"P5 -1 4 255\nxxxx", b"P5 4 4 0\n" + bytes(16), b"P2 2 1 255 99999999999999999999999 1", media.encode_bmp(np.zeros((3, 3), np.uint8))[:18] + bytes(8), b"P6 2 2 70000\n" + bytes(24)]
+    df = spark.createDataFrame([(k, bytearray(b)) for k, b in enumerate(bad)], "id long, media binary")
+    assert [(r.width, r.height, r.tile, r.dhash) for r in media.media_tiles(df).collect()] == [(None,) * 4] * len(bad)
+
+
+def test_difference_hash_by_hand():
+    """Of the text's tile: each bit says whether a cell's mean is above that of its left neighbour."""
+    text = "The quick brown fox " * 90
+    n, data = media.stored(text)
+    image, tile, mark = media.features(data)
+    assert n == len(text) and image.tobytes()[:n] == text.encode()
+    h, w = image.shape
+    mean = np.empty(media.TILE)
+    for r in range(8):
+        for c in range(9):  # exact areas, cell by cell
+            y0, y1, x0, x1 = r * h / 8, (r + 1) * h / 8, c * w / 9, (c + 1) * w / 9
+            weight = np.outer([max(0, min(y + 1, y1) - max(y, y0)) for y in range(h)], [max(0, min(x + 1, x1) - max(x, x0)) for x in range(w)])
+            mean[r, c] = np.clip(np.rint((weight * image).sum() / weight.sum()), 0, 255)
+    bits = "".join(str(int(mean[r, c + 1] > mean[r, c])) for r in range(8) for c in range(8))
+    assert mark == f"{int(bits, 2):016x}"
+
+
+def test_hash_sample_is_bounded_and_whole_below_the_bound(spark):
+    df = spark.createDataFrame([(k % 700, k) for k in range(2000)], "doc_id long, k int")
+    for rows in (5, 100, 1999, 2000, 10**6):
+        got = toxicity.hash_sample(df, "doc_id", rows).count()
+        assert got <= rows and (got == 2000 if rows >= 2000 else rows < 50 or got > rows / 2)
 
 
 def test_area_resize_is_the_mean():
