@@ -2,9 +2,14 @@
 
 A state is a role with whether the line begins a turn. A line is seen as its speaker marker, its length, and whether it asks.
 Emissions and transitions are counted over the labelled conversations outside the held-out fold (all of them; the counts are
-a table of fixed size). Viterbi runs in blocks of BLOCK turns: tasks reduce each block to its best scores from every state
-before it to every state at its end, a conversation's blocks are chained through these, and each block is then decoded
-between its two known ends. The result is that of one run over the whole conversation, but no task holds a long one.
+a table of fixed size). The lines are range-partitioned in their order and cut into blocks of BLOCK lines of one conversation.
+Viterbi runs by block: tasks reduce each block to its best scores from every state before it to every state at its end, a
+conversation's blocks are chained through these, and each block is then decoded between its two known ends. The result
+is that of one run over the whole conversation, but no task holds a long one, be it of many turns, of one turn of many lines or
+of many rows with one turn number.
+
+The query's transcripts are written so that a marker alone does not settle a line: one turn in UNMARKED has none, and one in
+MISMARKED that of another role.
 
 Null text: one empty line. Null ids: a conversation of their own; a null turn comes first. Repeated turns: lines in the order
 of their texts. An empty table gives none. Other columns are not read.
@@ -17,14 +22,18 @@ from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from corpusloom.llm.common import fold_column, written
 
 ROLES = ("user", "assistant", "system")
-#: Turns of a conversation that a task decodes at a time.
-BLOCK = 64
+#: Lines of a conversation that a task decodes at a time.
+BLOCK = 1024
+#: Turns that the query writes without a marker, and with a wrong one: one in so many, by hash.
+UNMARKED, MISMARKED = 10, 50
 FOLDS = 5
 # Names that open a turn, for each role.
 NAMES = {"user": "user|human|q|question|client|customer|me", "assistant": "assistant|ai|bot|a|answer|agent|gpt|model", "system": "system|instructions?|context|note"}
@@ -58,13 +67,15 @@ def without_marker(line: Column, role: Column) -> Column:
 
 
 def transcript_lines(conversations: DataFrame) -> DataFrame:
-    """conv, turn, i, line and the true role of conversations written out with speaker markers, in a style by conversation."""
+    """conv, turn, i, line and the true role of conversations written out with speaker markers, most of them right, in a style by conversation."""
     base = conversations.select(F.coalesce(F.col("conv_id").cast("string"), F.lit("")).alias("conv"), F.coalesce(F.col("turn").cast("long"), F.lit(-1)).alias("turn"), F.col("role").cast("string").alias("role"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     style = F.pmod(F.xxhash64("conv"), F.lit(len(STYLES)))
     marker = F.lit("")
+    dice = F.xxhash64("conv", "turn")
+    told = F.when(F.pmod(dice, F.lit(MISMARKED)) == 1, F.when(F.col("role") == "user", "assistant").otherwise("user")).when(F.pmod(dice, F.lit(UNMARKED)) != 0, F.col("role"))
     for k, (form, names) in enumerate(STYLES):
         for r, name in zip(ROLES, names):
-            marker = F.when((style == k) & (F.col("role") == r), form.format(name)).otherwise(marker)
+            marker = F.when((style == k) & (told == r), form.format(name)).otherwise(marker)
     return base.select("conv", "turn", "role", F.posexplode(F.split(F.concat(marker, "text"), "\n")).alias("i", "line"))
 
 
@@ -158,10 +169,24 @@ def _packed(rows: Iterator[tuple], names: list[str], types: list[pa.DataType]) -
 
 
 def recover_roles(lines: DataFrame, model: tuple[np.ndarray, np.ndarray]) -> DataFrame:
-    """conv, turn, i, line with the role found and the ordinal of the recovered turn. lines: conv, turn, i, line."""
+    """conv, turn, i, line with the role found and the ordinal of the recovered turn, and lines' other columns. lines: conv, turn, i, line."""
     transition, emission = model
-    seen = written(lines.select("conv", F.floor(F.col("turn") / BLOCK).alias("block"), "turn", "i", "line").withColumn("code", line_code(F.col("line"))), "lines")
     order = ("conv", "block", "turn", "i", "line")
+    extra = [c for c in lines.columns if c not in order]
+    coded = lines.select("conv", F.lit(0).cast("long").alias("block"), "turn", F.col("i").cast("int").alias("i"), "line", line_code(F.col("line")).alias("code"), *extra)
+
+    def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block, left, last = (TaskContext.get().partitionId() << 32) - 1, 0, None  # blocks are numbered in the order of the lines
+        for batch in batches:
+            made = []
+            for conv in batch.column(0).to_pylist():
+                if conv != last or not left:
+                    block, left, last = block + 1, BLOCK, conv
+                left -= 1
+                made.append(block)
+            yield batch.set_column(1, "block", pa.array(made, pa.int64()))
+
+    seen = written(coded.repartitionByRange("conv", "turn", "i").sortWithinPartitions("conv", "turn", "i", "line").mapInArrow(number, coded.schema), "lines")
 
     def reduce_(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         made = ((g[0][0], g[0][1], block_scores(np.array([r[5] for r in g]), transition, emission).ravel().tolist()) for g in _groups(batches, 2))
@@ -177,18 +202,21 @@ def recover_roles(lines: DataFrame, model: tuple[np.ndarray, np.ndarray]) -> Dat
                 starts = 0
                 for r, state in zip(g, decode(np.array([r[5] for r in g]), g[0][6], g[0][7], transition, emission)):
                     starts += state < len(ROLES)
-                    yield (*r[:5], ROLES[state % len(ROLES)], starts)
+                    yield (*r[:5], ROLES[state % len(ROLES)], starts, *r[8:])
 
-        yield from _packed(rows(), ["conv", "block", "turn", "i", "line", "role", "nth"], [pa.string(), pa.int64(), pa.int64(), pa.int32(), pa.string(), pa.string(), pa.int64()])
+        yield from _packed(rows(), names, types)
 
     columns = (*order, "code")
     best = seen.select(*columns).repartition("conv", "block").sortWithinPartitions(*order).mapInArrow(reduce_, "conv string, block long, best array<double>")
     ends = written(best.repartition("conv").sortWithinPartitions("conv", "block").mapInArrow(link, "conv string, block long, entry int, end int"), "ends")
-    both = seen.select(*columns).join(ends, ["conv", "block"]).select(*columns, "entry", "end").repartition("conv", "block").sortWithinPartitions(*order)
-    found = written(both.mapInArrow(solve, "conv string, block long, turn long, i int, line string, role string, nth long"), "found")
+    both = seen.join(ends, ["conv", "block"]).select(*columns, "entry", "end", *extra).repartition("conv", "block").sortWithinPartitions(*order)
+    kinds = {f.name: f for f in to_arrow_schema(both.schema)}
+    names, types = [*order, "role", "nth", *extra], [pa.string(), pa.int64(), pa.int64(), pa.int32(), pa.string(), pa.string(), pa.int64(), *(kinds[c].type for c in extra)]
+    told = ", ".join(f"`{c}` {both.schema[c].dataType.simpleString()}" for c in extra)
+    found = written(both.mapInArrow(solve, "conv string, block long, turn long, i int, line string, role string, nth long" + (", " + told if told else "")), "found")
     per = found.groupBy("conv", "block").agg(F.max("nth").alias("starts"))
     offset = written(per.select("conv", "block", (F.sum("starts").over(Window.partitionBy("conv").orderBy("block").rowsBetween(Window.unboundedPreceding, 0)) - F.col("starts")).alias("offset")), "offsets")
-    return found.join(offset, ["conv", "block"]).select("conv", "turn", "i", "line", "role", (F.col("offset") + F.col("nth") - 1).alias("ordinal"))
+    return found.join(offset, ["conv", "block"]).select("conv", "turn", "i", "line", "role", (F.col("offset") + F.col("nth") - 1).alias("ordinal"), *extra)
 
 
 def rendered(recovered: DataFrame) -> DataFrame:
@@ -200,7 +228,12 @@ def rendered(recovered: DataFrame) -> DataFrame:
 
 
 def chat_report(conversations: DataFrame) -> DataFrame:
-    """Every conversation written out, parsed again and rendered: one row for each recovered turn, with digests."""
+    """Every conversation written out, parsed again and rendered: one row for each recovered turn, with digests, whether its
+    conversation is of the held-out fold, and how many of its lines have the role that the conversation gives them."""
     lines = transcript_lines(conversations)
-    out = rendered(recover_roles(lines.drop("role"), fit(lines)))
-    return out.select(F.when(F.col("conv") != "", F.col("conv")).cast("long").alias("conv_id"), "turn", "role", "n_lines", F.sha2("text", 256).alias("text_sha256"), F.sha2("rendered", 256).alias("rendered_sha256"))
+    found = recover_roles(lines.withColumnRenamed("role", "true_role"), fit(lines))
+    right = found.groupBy("conv", F.col("ordinal").alias("turn")).agg(F.count_if(F.col("role") == F.col("true_role")).alias("n_right"))
+    out = rendered(found).join(right, ["conv", "turn"])
+    return out.select(
+        F.when(F.col("conv") != "", F.col("conv")).cast("long").alias("conv_id"), "turn", "role", "n_lines", "n_right", (fold_column(F.col("conv"), FOLDS) == 0).alias("held_out"), F.sha2("text", 256).alias("text_sha256"), F.sha2("rendered", 256).alias("rendered_sha256"),
+    )

@@ -2,6 +2,8 @@
 
 import itertools
 import random
+import re
+import zlib
 
 import numpy as np
 import pytest
@@ -57,11 +59,40 @@ def test_turns_come_back(spark, block, monkeypatch):
     monkeypatch.setattr(chat, "BLOCK", block)
     rows = conversations()
     df = spark.createDataFrame(rows, SCHEMA)
+    monkeypatch.setattr(chat, "UNMARKED", 1 << 60)
+    monkeypatch.setattr(chat, "MISMARKED", 1 << 60)
     lines = chat.transcript_lines(df)
     got = sorted((r.conv, r.turn, r.role, r.text) for r in chat.rendered(chat.recover_roles(lines.drop("role"), chat.fit(lines))).collect())
     assert got == sorted((str(c), k, role, text) for c, k, role, text, *_ in rows)
 
 
+def test_roles_are_found_where_markers_are_missing_or_wrong(spark):
+    """Against what the markers alone say: a line has the role of the last marker."""
+    df = spark.read.parquet("/root/testdata/sf0.1/conversations.parquet")
+    r = chat.chat_report(df).where("held_out").selectExpr("sum(n_right) AS n", "sum(n_lines) AS of").first()
+    lines = chat.transcript_lines(df).where("role is not null").collect()
+    roles, right, total = {}, 0, 0
+    held = {c for (c,) in df.select("conv_id").distinct().collect() if zlib.crc32(str(c).encode()) % chat.FOLDS == 0}
+    names = {role: re.compile(chat.marker_pattern(chat.NAMES[role])) for role in chat.ROLES}
+    for x in sorted(lines, key=lambda x: (x.conv, x.turn, x.i)):
+        if x.conv in {str(c) for c in held}:
+            roles[x.conv] = next((role for role in chat.ROLES if names[role].search(x.line)), roles.get(x.conv))
+            right, total = right + (roles[x.conv] == x.role), total + 1
+    assert total == r.of and r.n / r.of > max(0.93, right / total)
+
+
+def test_long_turns_and_repeated_numbers_are_cut(spark, monkeypatch):
+    """One turn of many lines, and many rows of one turn number: blocks stay small, and nothing is lost."""
+    monkeypatch.setattr(chat, "BLOCK", 16)
+    rows = [(1, 0, "user", "\n".join(f"line {k}?" for k in range(500)), "", ""), (1, 1, "assistant", "yes", "", "")] + [(2, 0, "user", f"again {k}", "", "") for k in range(300)] + [(3, None, "user", f"n {k}", "", "") for k in range(100)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    lines = chat.transcript_lines(df)
+    got = chat.recover_roles(lines.drop("role"), chat.fit(lines)).collect()
+    assert sorted((r.conv, r.turn, r.i, r.line) for r in got) == sorted((r.conv, r.turn, r.i, r.line) for r in lines.collect())
+    texts = [r.line for r in sorted((r for r in got if r.conv == "1"), key=lambda r: (r.turn, r.i))]
+    assert len(texts) == 501 and all(r.role in chat.ROLES for r in got)
+
+
 def test_odd_rows(spark):
     rows = [(1, 0, "user", None, "x", "y"), (1, 1, "assistant", "", "x", "y"), (None, None, None, "no role", "x", "y"), (2, 0, "user", "a", "x", "y"), (2, 0, "user", "a", "x", "y"), (3, 5, "robot", "w " * 50000, "x", "y")]
     df = spark.createDataFrame(rows, SCHEMA)
