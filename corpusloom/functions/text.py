@@ -1,4 +1,4 @@
-"""Text as columns: words, shingles, folds, detectors. Everything stays on the JVM side but nfc()."""
+"""Text as columns: words, shingles, folds, detectors. Everything stays on the JVM side but nfc() and unaccented()."""
 
 from __future__ import annotations
 
@@ -40,8 +40,13 @@ def words(text: Column, pattern: str = WORD) -> Column:
     return F.regexp_extract_all(F.lower(text), F.lit(f"({pattern})"), 1)
 
 
+def composed(text: Column) -> Column:
+    """Unicode composition. Characters below U+0300 are composed as they stand, so only texts with others go to Python."""
+    return F.coalesce(nfc(F.when(text.rlike(r"[^\x00-\u02ff]"), text)), text)
+
+
 def canonical(text: Column) -> Column:
-    """Invisible characters out, white space folded. Composed input is assumed (nfc() composes)."""
+    """Invisible characters out, white space folded. Composed input is assumed (composed() makes it)."""
     return F.trim(F.regexp_replace(F.translate(text, INVISIBLE, ""), r"[\s ]+", " "))
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from corpusloom.operators.reuse import MIN_SHARED, sketched
+from corpusloom.operators.reuse import candidates, sketched, verified
 
 
 def file_stream(spark: SparkSession, path: str, schema, files_per_batch: int = 16) -> DataFrame:
@@ -83,13 +83,10 @@ class ReuseStore:
         sketched(batch).write.mode("overwrite").parquet(f"{self.sketches}/{mine}")
         new = spark.read.parquet(f"{self.sketches}/{mine}")
         all_ = spark.read.option("basePath", self.sketches).parquet(self.sketches).where(F.col("batch") <= batch_id).drop("batch")
-        values = new.select("doc_id", F.explode("sketch").alias("value"))
-        other = all_.select(F.col("doc_id").alias("target"), F.explode("sketch").alias("value"))
-        pairs = values.join(other, "value").where("doc_id <> target").groupBy("doc_id", "target").count().where(F.col("count") >= MIN_SHARED)
-        a, b = new.select("doc_id", "shingles"), all_.select(F.col("doc_id").alias("target"), F.col("shingles").alias("t"))
-        common = F.size(F.array_intersect("shingles", "t"))
-        found = pairs.join(a, "doc_id").join(b, "target").where(common * 10 >= F.least(F.size("shingles"), F.size("t")) * 9)
-        found.select(F.greatest("doc_id", "target").alias("document_id"), F.least("doc_id", "target").alias("target_document_id")).distinct().write.mode("overwrite").parquet(f"{self.relations}/{mine}")
+        found = verified(candidates(new, all_), new, all_).unionByName(verified(candidates(all_, new), all_, new)).select("document_id", "target_document_id")
+        same = new.select("sha", "doc_id").join(all_.select("sha", F.col("doc_id").alias("target")), "sha").where("doc_id <> target")  # equal texts of other batches
+        pairs = same.select(F.greatest("doc_id", "target").alias("document_id"), F.least("doc_id", "target").alias("target_document_id"))
+        found.unionByName(pairs).distinct().write.mode("overwrite").parquet(f"{self.relations}/{mine}")
 
     def read(self, spark: SparkSession) -> DataFrame:
         return spark.read.option("basePath", self.relations).parquet(self.relations).select("document_id", "target_document_id").distinct()

@@ -1,6 +1,7 @@
 """Operators on small written tables: ties, gaps, empty groups, planted faults."""
 
 import math
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -29,9 +30,27 @@ def test_reuse(spark):
     docs = [(1, "a", base), (2, "b", base + " x y z"), (3, "a", base + "  "), (4, "a", " ".join(words[:100])), (5, "c", "a b " * 60), (6, "c", "c b " * 60), (7, "c", None), (8, "c", "short")]
     df = spark.createDataFrame(docs, "doc_id long, outlet string, text string")
     got = {(r.document_id, r.target_document_id): (r.relation, r.text_match) for r in reuse.relations(df).collect()}
-    assert got == {(2, 1): ("syndicated_copy_of", "near_identical"), (4, 1): ("duplicate_of", "contained"), (4, 2): ("syndicated_copy_of", "contained")}
+    assert got == {(2, 1): ("syndicated_copy_of", "near_identical"), (4, 1): ("duplicate_of", "contained"), (4, 2): ("syndicated_copy_of", "contained"), (3, 1): ("duplicate_of", "exact")}
+    assert dict(rows(reuse.members(df), "doc_id"))[7] == 7
     assert dict(rows(reuse.members(df), "doc_id"))[3] == 1
     assert {r.doc_id: r.cluster_id for r in reuse.clusters(df).collect() if r.doc_id < 5} == {1: 1, 2: 1, 3: 1, 4: 1}
+    two = {r.document_id: (r.differing_words, r.target_differing_words) for r in reuse.relations(df).where("target_document_id = 1").collect()}
+    assert two == {2: (3, 0), 3: (0, 0), 4: (0, 20)}
+    accents = spark.createDataFrame([(1, "a", "2026-02-01", "", "cafe\u0301 " + base), (2, "b", "2026-01-01", "", "caf\u00e9 " + base), (3, "c", None, "1", base + " z")], "doc_id long, outlet string, published string, fetched_at string, text string")
+    assert {(r.document_id, r.target_document_id, r.text_match) for r in reuse.relations(accents).collect()} == {(1, 2, "exact"), (3, 2, "near_identical")}  # composed alike; the order is that of publication
+    assert dict(rows(reuse.members(accents), "doc_id")) == {1: 2, 2: 2, 3: 3}
+
+
+def test_reuse_with_a_hot_passage_and_many_copies(spark):
+    """Every text holds one long passage; a third are copies: pairs are those of brute force."""
+    rng = random.Random(3)
+    passage = [f"p{i}" for i in range(60)]
+    texts = [" ".join([*passage, *[f"w{rng.randint(0, 400)}" for _ in range(rng.randint(0, 12))]]) for _ in range(40)] + [" ".join(passage)] * 25
+    df = spark.createDataFrame([(k, "o", t) for k, t in enumerate(texts)], "doc_id long, outlet string, text string")
+    sets = [{tuple(t.split()[i : i + 8]) for i in range(len(t.split()) - 7)} for t in texts]
+    first = {t: k for k, t in reversed([*enumerate(texts)])}
+    want = {(a, b) for a in first.values() for b in first.values() if b < a and len(sets[a] & sets[b]) * 10 >= 9 * min(len(sets[a]), len(sets[b]))} | {(k, first[t]) for k, t in enumerate(texts) if first[t] != k}
+    assert {(r.document_id, r.target_document_id) for r in reuse.relations(df).collect()} == want
 
 
 def test_streaks_and_runs(spark):
