@@ -58,6 +58,16 @@ def robots(spark, d):
     return hit.groupBy("page_id").agg(F.max(F.struct("n", "allow"))["allow"].alias("allowed"))
 
 
+def url_keys(spark, d):
+    """Keys of the pages' addresses and of variants of them: markers, dots, escapes, other hosts."""
+    rules = U.KeyRules(("https://example.com", "http://example.com"), ("page", ""), ("/amp",), ("/print",))
+    rest = F.regexp_replace("url", r"^https?://[^/]+", "")
+    form = F.pmod("page_id", F.lit(5))
+    requested = F.when(form == 0, F.concat(F.lit("http://EXAMPLE.com:80/amp"), rest)).when(form == 1, F.concat(F.lit("https://example.com/x/%2e%2e"), rest)).when(form == 2, F.concat(F.lit("https://example.com/%7eñ/./print"), F.regexp_replace(rest, r"^[^?#]*", ""))).when(form == 3, F.concat(F.lit("https://other.com"), rest)).otherwise(F.concat(F.lit("https://example.com"), rest))
+    made = pages(spark, d).select("page_id", U.url_key(rules, F.lit(None).cast("string"), F.when(F.col("page_id") % 7 == 0, F.lit("https://example.com/final?b&a&page=2&page=1")), requested).alias("k"))
+    return made.select("page_id", "k.key", "k.basis")
+
+
 _P = r"p AS (SELECT page_id, url, lower(regexp_extract(url, '^(\w+):', 1)) AS scheme, lower(regexp_extract(url, '^\w+://([^/?#:]*)', 1)) AS host, regexp_extract(url, '^\w+://[^/?#]*([^?#]*)', 1) AS path, regexp_extract(url, '\?([^#]*)', 1) AS query, regexp_extract(url, '#(.*)$', 1) AS fragment FROM pages)"
 _PATH = "regexp_replace(url, '^https?://[^/]+', '')"
 QUERIES = {
@@ -73,10 +83,14 @@ QUERIES = {
     "policy_decisions": policy,
     "robots_rules": robots,
     "allowances": lambda spark, d: table(spark, d, "events").groupBy("event_type").agg(F.count("*").alias("n")).select("event_type", A.allowance(F.col("n") / 30).alias("allowance")),
-    "url_keys": lambda spark, d: pages(spark, d).select("page_id", U.url_key(U.KeyRules(("https://example.com",), ("page",)))(F.lit(None).cast("string"), F.lit(None).cast("string"), F.regexp_replace("url", r"^https?://[^/]+", "https://example.com")).alias("key")),
+    "url_keys": url_keys,
 }
 _FLAGS = ", ".join(f"CASE WHEN regexp_matches({_PATH}, '(?i){p}') THEN '{n}' END" for n, p in U.URL_FLAGS)
 ORACLE = {
+    "url_keys": rf"""WITH a AS (SELECT page_id, regexp_replace(url, '^https?://[^/]+', '') AS rest FROM pages),
+b AS (SELECT page_id, regexp_extract(rest, '^([^?#]*)', 1) AS path, list_sort(list_filter(string_split(regexp_extract(rest, '\?([^#]*)', 1), '&'), lambda x: x <> '' AND (NOT contains(x, '=') OR starts_with(x, 'page=')))) AS kept FROM a),
+c AS (SELECT page_id, page_id % 7 = 0 AS f, CASE page_id % 5 WHEN 3 THEN NULL WHEN 2 THEN '/~%C3%B1' ELSE CASE WHEN path = '' THEN '/' ELSE path END END AS path, array_to_string(kept, '&') AS q FROM b)
+SELECT page_id, CASE WHEN f THEN 'https://example.com/final?a&b&page=1&page=2' WHEN path IS NOT NULL THEN 'https://example.com' || path || CASE WHEN q <> '' THEN '?' || q ELSE '' END END AS key, CASE WHEN f THEN 'final_url' WHEN path IS NOT NULL THEN 'requested_url' END AS basis FROM c""",
     "url_parts": f"WITH {_P} SELECT page_id, scheme || '://' || host AS origin, host, path, query, fragment FROM p",
     "without_tracking": f"WITH {_P}, q AS (SELECT *, array_to_string(list_filter(string_split(query, '&'), lambda x: NOT starts_with(x, 'utm_')), '&') AS kept FROM p) SELECT page_id, CASE WHEN contains(query, 'utm_') THEN regexp_extract(url, '^([^?#]*)', 1) || CASE WHEN kept <> '' THEN '?' || kept ELSE '' END || regexp_extract(url, '(#.*)$', 1) ELSE url END AS url FROM q",
     "page_flags": rf"SELECT page_id, CASE WHEN page_id % 17 = 0 THEN 'not_a_2xx_answer' ELSE array_to_string(list_filter([{_FLAGS}, CASE WHEN trim({_PATH}, '/') = '' OR (length({_PATH}) - length(replace({_PATH}, '/', '')) <= 1 AND NOT regexp_matches({_PATH}, '\d|-.*-')) THEN 'front_or_top_level_page_url' END], lambda x: x IS NOT NULL), ',') END AS flags FROM pages",

@@ -25,14 +25,24 @@ RULES = urls.KeyRules(("https://example.com", "http://example.com"), ("id", ""),
         ("https://other.com/a", None),
         ("https://user@example.com/a", None),
         ("ftp://example.com/a", None),
+        ("https://example.com:8080/a", None),
+        ("https://example.com:x/a", None),
+        ("https://example.com./a/b/..", "https://example.com/a/"),
+        ("https://example.com/amp/amp/x.html.html/", "https://example.com/x/"),
+        ("https://example.com/amp/", "https://example.com/"),
+        ("https://example.com/amp", "https://example.com/amp"),
+        ("https://example.com/.html", "https://example.com/"),
+        ("https://example.com/a?id=2&id=1&b=&=x&z", "https://example.com/a?id=1&id=2&z"),
+        ("https://example.com/a b", None),
         ("http://[bad", None),
         (None, None),
     ],
 )
-def test_url_key(url, key):
-    assert urls.key_of(url, RULES) == key
+def test_url_key(spark, url, key):
+    df = spark.createDataFrame([(url,)], "u string")
+    assert df.select(urls.key(F.col("u"), RULES).alias("k")).first().k == key
     if key:
-        assert urls.key_of(key, RULES) == key  # the key of a key is the key
+        assert one(spark, urls.key(F.col("u"), RULES), u=key) == key  # the key of a key is the key
 
 
 @pytest.mark.parametrize("url, out", [("http://a/b?utm_x=1&c=2#f", "http://a/b?c=2#f"), ("http://a/b?utm_x=1", "http://a/b"), ("http://a/b?c=2", "http://a/b?c=2"), ("http://a/b#utm_", "http://a/b#utm_")])
@@ -112,6 +122,35 @@ def test_gate_reasons(spark):
     assert got == {1: "no_body", 2: "repetitive", 3: "repetitive,duplicate_of_earlier", 4: "too_short"}
 
 
+def test_international_hosts(spark):
+    rules = urls.KeyRules(("https://xn--caf-dma.es",))
+    assert one(spark, urls.key(F.col("u"), rules), u="https://CAF\u00c9.es/x") == "https://xn--caf-dma.es/x"
+
+
+def test_as_https(spark):
+    known = F.array(F.lit("https://a.com"), F.lit("https://b.com"), F.lit("http://b.com"))
+    f = lambda u: one(spark, urls.as_https(F.col("u"), known), u=u)
+    assert f("http://A.com/x") == "https://A.com/x"
+    assert all(f(u) is None for u in ("http://b.com/x", "https://a.com/x", "http://c.com/", "http://a.com:80/", "http://u@a.com/"))
+
+
+def test_repeated_share_counts_all_occurrences(spark):
+    """A block of 100 characters given twice is all of the text; blocks below 20 characters do not count."""
+    docs = spark.createDataFrame([(1, "a" * 100 + "\n" + "a" * 100), (2, "a" * 100 + "\n" + "b" * 100 + "\n" + "A" * 100), (3, "ab\nab"), (4, ""), (5, "e\u0301" * 30 + "\n" + "\u00e9" * 30)], "doc_id long, text string")
+    assert {r.doc_id: r.repeated_share for r in quality.features(docs, "doc_id").collect()} == {1: 1.0, 2: 0.667, 3: 0.0, 4: 0.0, 5: 1.0}
+
+
+def test_versions_of_the_gate(spark):
+    body = "de la que el en y a los se del " * 20 + "\n" + "Resumen generado con inteligencia artificial"
+    docs = spark.createDataFrame([(1, body)], "doc_id long, text string")
+    known = quality.Page(url=F.lit("https://a/zona-comercial/x"), status=F.lit(200), extracted=F.lit(True), title=F.lit("Minuto a minuto"), stated_characters=F.lit(5000), stated_text_characters=F.lit(900), live_blog=F.lit(False))
+    f = lambda rules: [n for n, c in quality.page_reasons(rules, known) if quality.features(docs).select(c.alias("c")).first().c]
+    shared = ["sponsored", "live_coverage"]
+    assert f(quality.RULES_2) == ["machine_text", *shared, "incomplete_against_stated_body", "repetitive"]
+    assert f(quality.RULES_3) == [*shared, "incomplete_against_stated_body", "repetitive"]
+    assert f(quality.RULES_4) == [*shared, "repetitive"]
+
+
 def test_compressed_bodies_are_whole_or_refused(monkeypatch):
     import gzip
     import zlib
