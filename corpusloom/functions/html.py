@@ -15,9 +15,11 @@ from collections.abc import Iterator
 from html import escape
 from html.parser import HTMLParser
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import _parse_datatype_string
 
 VERSION = "main-text/1"
 _BLOCK = frozenset("address article aside blockquote body dd div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr li main nav ol p pre section table tbody td tfoot th thead tr ul".split())
@@ -266,16 +268,17 @@ def sanitized(html: str | None) -> str:
 
 
 def _mapped(pages: DataFrame, fn, schema: str) -> DataFrame:
-    names = [x.split()[0] for x in schema.split(", ")]
+    """Rows of fn(page_id, html) for each page; pages without an id or a text are pages too."""
+    arrow = to_arrow_schema(_parse_datatype_string(schema))
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            for at in range(0, len(pdf), 256):
-                rows = [r for page_id, html in zip(pdf["page_id"][at : at + 256], pdf["html"][at : at + 256]) for r in fn(int(page_id), html)]
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 256):
+                rows = [r for page_id, html in zip(*(c.to_pylist() for c in batch.slice(at, 256).columns)) for r in fn(page_id, html)]
                 if rows:
-                    yield pd.DataFrame(rows, columns=names)
+                    yield pa.record_batch([pa.array(c, f.type) for c, f in zip(zip(*rows), arrow)], schema=arrow)
 
-    return pages.where("page_id is not null").select(F.col("page_id").cast("long").alias("page_id"), "html").mapInPandas(run, schema)
+    return pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("html").cast("string").alias("html")).mapInArrow(run, schema)
 
 
 def segments(pages: DataFrame) -> DataFrame:

@@ -19,10 +19,9 @@ def listing_links(spark, d):
 
 
 def versions(spark, d):
-    """Blocks of the extractor against those of a version that also keeps what stands outside the main container."""
+    """Blocks that the extractor keeps against all that a version without block selection would keep, by the rule that decided."""
     now = H.block_decisions(pages(spark, d)).select("page_id", "text", "role", "rule")
-    wide = now.where("role = 'body' or rule = 'outside_main'").withColumn("rule", F.lit("kept"))
-    return compare.block_changes(wide, now.where("role = 'body'"), "page_id", "text", "rule")
+    return compare.block_changes(now, now.where("role = 'body'"), "page_id", "text", "rule")
 
 
 def violations(spark, d):

@@ -21,18 +21,33 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's shared folder; a temporary one only where none is set (local tests)."""
+    """The cluster's shared folder; a temporary one where none is set and the session is local. A cluster without one is an error,
+    as its executors would write to disks of their own."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
         sc = spark.sparkContext
         if sc._jsc.sc().getCheckpointDir().isEmpty():
+            if not sc.master.startswith("local[") and sc.master != "local":
+                raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
             sc.setCheckpointDir(tempfile.mkdtemp(prefix="corpusloom-"))
         found = sc._jsc.sc().getCheckpointDir().get()
     return found.rstrip("/")
 
 
+#: Scratch tables of this process.
+_MADE: list[str] = []
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
-    return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    _MADE.append(f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}")
+    return _MADE[-1]
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Deletes the scratch tables made so far: for when no result that reads them is needed any more."""
+    while _MADE:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_MADE.pop())
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def written(df: DataFrame, label: str) -> DataFrame:

@@ -1,6 +1,7 @@
 """Operators on small written tables: ties, gaps, empty groups, planted faults."""
 
 import math
+import os
 import random
 
 import pytest
@@ -168,3 +169,13 @@ def test_relation_moves(spark):
     a = spark.createDataFrame([(1, 2, "exact"), (3, 4, "exact"), (5, 6, "exact")], "document_id long, target_document_id long, text_match string")
     b = spark.createDataFrame([(1, 2, "exact"), (3, 4, "contained"), (7, 8, "exact")], "document_id long, target_document_id long, text_match string")
     assert rows(compare.relation_moves(a, b).select("document_id", "move"), "document_id") == [(1, "kept"), (3, "moved"), (5, "lost"), (7, "new")]
+
+
+def test_scratch_tables_can_be_cleared(spark):
+    from corpusloom import session
+
+    made = session.written(spark.range(3), "trial")
+    path = made.inputFiles()[0].removeprefix("file://").rsplit("/", 1)[0]
+    assert os.path.isdir(path)
+    session.clear_scratch(spark)
+    assert not os.path.exists(path)
