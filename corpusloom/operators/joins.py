@@ -32,6 +32,14 @@ def containing_interval(points: DataFrame, spans: DataFrame, point: str, key: li
     return points.select(*key).join(best, key, "left")
 
 
+def next_match(df: DataFrame, key: str, at: str, item: str, asks: Column, name: str) -> DataFrame:
+    """Each asking row's item with the first other row of its key at a later time (the least item of a tie), or null: one sorted
+    pass from the end, in which the least (at, item) met so far is the next one."""
+    w = Window.partitionBy(key).orderBy(F.col(at).desc()).rangeBetween(Window.unboundedPreceding, -1)
+    answer = F.min(F.when(~asks, F.struct(at, item))).over(w)
+    return df.withColumn("answer", answer).where(asks).select(item, F.col("answer")[item].alias(name))
+
+
 def either_key(df: DataFrame, holds: DataFrame, first: str, second: str) -> DataFrame:
     """df with the hold on its first key, else that on its second. holds: scope (first or second), key, hold; one row a key."""
     one = holds.where("scope = 'first'").select(F.col("key").alias(first), F.col("hold").alias("hold_1"))

@@ -57,7 +57,7 @@ def overlap(spark, d):
     """Each turn's words held against the words of the turn before."""
     t = table(spark, d, "conversations").select("conv_id", "turn", X.words(F.col("text")).alias("w"))
     before = t.select("conv_id", (F.col("turn") + 1).alias("turn"), F.col("w").alias("reference"))
-    pairs = t.join(before, ["conv_id", "turn"]).select((F.col("conv_id") * 1000 + F.col("turn")).alias("id"), F.col("w").alias("candidate"), "reference")
+    pairs = t.join(before, ["conv_id", "turn"]).select(F.concat_ws(":", "conv_id", "turn").alias("id"), F.col("w").alias("candidate"), "reference")
     return E.overlap(pairs)
 
 
@@ -101,7 +101,7 @@ ORACLE = {
     "region_rollup": "SELECT n_regionkey, n_nationkey, count(*) AS orders, count(DISTINCT c_custkey) AS customers, sum(round(o_totalprice * 100)::BIGINT)::BIGINT AS cents, count(*) FILTER (o_orderstatus = 'F') AS filled FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey GROUP BY ROLLUP (n_regionkey, n_nationkey)",
     "top_crosstab": "SELECT l_returnflag, l_linestatus, year(l_shipdate) AS year, count(*) AS n FROM lineitem GROUP BY ALL ORDER BY n DESC, l_returnflag, l_linestatus, year LIMIT 10",
     "percentile_forms": "WITH e AS (SELECT event_type, floor(value * 100)::BIGINT AS v FROM events WHERE value IS NOT NULL), l AS (SELECT event_type, floor(median(v))::BIGINT AS median, list_sort(list(v)) AS s, count(*) AS n FROM e GROUP BY 1) SELECT event_type, median, s[1 + round_even((n - 1) * 0.9::DOUBLE, 0)::BIGINT] AS p90_rounded, s[1 + least(n - 1, floor(n * 0.9::DOUBLE)::BIGINT)] AS p90_cut FROM l",
-    "bag_overlap": r"WITH w AS (SELECT conv_id * 1000 + turn AS id, conv_id, turn, unnest(regexp_extract_all(lower(text), '[\p{L}\p{N}_]+')) AS token FROM conversations), c AS (SELECT id, conv_id, turn, token, count(*) AS n FROM w GROUP BY ALL), p AS (SELECT a.conv_id, a.turn FROM conversations a JOIN conversations b ON a.conv_id = b.conv_id AND a.turn = b.turn + 1), x AS (SELECT c.id, token, n AS a, 0 AS b FROM c JOIN p USING (conv_id, turn) UNION ALL SELECT c.id + 1, token, 0, n FROM c JOIN p ON c.conv_id = p.conv_id AND c.turn + 1 = p.turn), y AS (SELECT id, token, sum(a) AS a, sum(b) AS b FROM x GROUP BY ALL) SELECT id, sum(least(a, b))::BIGINT AS kept, sum(greatest(b - a, 0))::BIGINT AS missing, sum(greatest(a - b, 0))::BIGINT AS excess FROM y GROUP BY id",
+    "bag_overlap": r"WITH w AS (SELECT conv_id || ':' || turn AS id, conv_id, turn, unnest(regexp_extract_all(lower(text), '[\p{L}\p{N}_]+')) AS token FROM conversations), c AS (SELECT id, conv_id, turn, token, count(*) AS n FROM w GROUP BY ALL), p AS (SELECT a.conv_id, a.turn FROM conversations a JOIN conversations b ON a.conv_id = b.conv_id AND a.turn = b.turn + 1), x AS (SELECT c.id, token, n AS a, 0 AS b FROM c JOIN p USING (conv_id, turn) UNION ALL SELECT p.conv_id || ':' || p.turn, token, 0, n FROM c JOIN p ON c.conv_id = p.conv_id AND c.turn + 1 = p.turn), y AS (SELECT id, token, sum(a) AS a, sum(b) AS b FROM x GROUP BY ALL) SELECT id, sum(least(a, b))::BIGINT AS kept, sum(greatest(b - a, 0))::BIGINT AS missing, sum(greatest(a - b, 0))::BIGINT AS excess FROM y GROUP BY id",
     "constant_labels": "WITH n AS (SELECT source, lang, count(*) AS n FROM documents GROUP BY ALL) SELECT source, arg_max(lang, (n, lang)) AS lang, max(n) AS top, sum(n)::BIGINT AS total, max(n) * 10 >= sum(n) * 9 AS constant FROM n GROUP BY source",
     "site_wide_lines": "WITH l AS (SELECT source, unnest(list_distinct(list_filter(string_split(text, chr(10)), lambda x: length(x) >= 20))) AS line FROM documents), n AS (SELECT source, line, count(*) AS documents FROM l GROUP BY ALL HAVING count(*) >= 3), t AS (SELECT source, count(*) AS total FROM documents GROUP BY 1) SELECT source, line, documents, floor(documents * 1000000 / total)::BIGINT AS share FROM n JOIN t USING (source)",
 }

@@ -29,7 +29,7 @@ def holds(spark, d):
 
 def precedence(spark, d):
     """Customers matched to a supplier by equal name digits, else by equal nation, else proposed."""
-    c = T(spark, d, "customer").where("c_custkey < 500")
+    c = T(spark, d, "customer")
     exact = T(spark, d, "supplier").select(F.regexp_extract("s_name", r"(\d+)$", 1).alias("lookup_key"), F.col("s_suppkey").alias("target"))
     loose = T(spark, d, "supplier").where("s_nationkey % 3 = 0").select(F.col("s_nationkey").cast("string").alias("lookup_key"), F.col("s_suppkey").alias("target"))
     return J.cascade(c, "c_custkey", [("exact", exact, F.regexp_extract("c_name", r"(\d+)$", 1)), ("loose", loose, F.col("c_nationkey").cast("string"))])
@@ -42,16 +42,14 @@ def reconciled(spark, d):
 
 
 def request_log(spark, d):
-    """Planned (views) with the first later end (clicks or errors) of the same user, and whether there is one."""
+    """Planned (views) with the first later end (clicks or errors) of the same user, if there is one."""
     e = events(spark, d)
-    ends = e.where("event_type IN ('click', 'error')").select("user_id", F.col("us").alias("end_us"), F.col("event_id").alias("end_id"))
-    pairs = e.where("event_type = 'view'").join(ends, "user_id").where("end_us > us").groupBy("event_id").agg(F.min(F.struct("end_us", "end_id"))["end_id"].alias("end_id"))
-    return e.where("event_type = 'view'").select("event_id").join(pairs, "event_id", "left")
+    return J.next_match(e.where("event_type IN ('view', 'click', 'error')"), "user_id", "us", "event_id", F.col("event_type") == "view", "end_id")
 
 
 def same_story(spark, d):
     """Pairs of parts of a brand that were ordered together, as sets of orders."""
-    sets = T(spark, d, "lineitem").where("l_partkey < 120").join(T(spark, d, "part").select("p_partkey", "p_brand"), F.col("l_partkey") == F.col("p_partkey"))
+    sets = T(spark, d, "lineitem").join(T(spark, d, "part").select("p_partkey", "p_brand"), F.col("l_partkey") == F.col("p_partkey"))
     return J.jaccard_pairs(sets, "p_brand", "l_partkey", "l_orderkey")
 
 
@@ -91,12 +89,12 @@ ORACLE = {
     "reconciled": "SELECT CASE WHEN o_orderkey % 10 = 2 THEN 'missing' WHEN o_orderkey % 10 = 1 THEN 'not_listed' WHEN o_orderkey % 10 = 3 THEN 'differs' ELSE 'same' END AS status, count(*) AS n FROM orders GROUP BY 1",
     "interval_latest": f"WITH {_E}, p AS (SELECT event_id, s FROM e WHERE event_type = 'purchase'), x AS (SELECT event_id AS span_id, s AS a, s + 3600 AS b FROM e WHERE event_type = 'signup') SELECT p.event_id, arg_max(span_id, (a, span_id)) AS span_id FROM p LEFT JOIN x ON p.s BETWEEN a AND b GROUP BY 1",
     "holds_by_either_key": "SELECT CASE WHEN l_partkey % 40 = 0 AND EXISTS (SELECT 1 FROM part WHERE p_partkey = l_partkey) THEN 'part' WHEN l_suppkey % 7 = 0 AND EXISTS (SELECT 1 FROM supplier WHERE s_suppkey = l_suppkey) THEN 'supplier' END AS hold, count(*) AS lines FROM lineitem GROUP BY 1",
-    "precedence_cascade": r"WITH x AS (SELECT regexp_extract(s_name, '(\d+)$', 1) AS k, min(s_suppkey) AS t FROM supplier GROUP BY 1), y AS (SELECT s_nationkey AS k, min(s_suppkey) AS t FROM supplier WHERE s_nationkey % 3 = 0 GROUP BY 1) SELECT c_custkey, CASE WHEN x.t IS NOT NULL THEN 'exact' WHEN y.t IS NOT NULL THEN 'loose' ELSE 'proposal' END AS basis, coalesce(x.t, y.t) AS target FROM customer LEFT JOIN x ON x.k = regexp_extract(c_name, '(\d+)$', 1) LEFT JOIN y ON y.k = c_nationkey WHERE c_custkey < 500",
+    "precedence_cascade": r"WITH x AS (SELECT regexp_extract(s_name, '(\d+)$', 1) AS k, min(s_suppkey) AS t FROM supplier GROUP BY 1), y AS (SELECT s_nationkey AS k, min(s_suppkey) AS t FROM supplier WHERE s_nationkey % 3 = 0 GROUP BY 1) SELECT c_custkey, CASE WHEN x.t IS NOT NULL THEN 'exact' WHEN y.t IS NOT NULL THEN 'loose' ELSE 'proposal' END AS basis, coalesce(x.t, y.t) AS target FROM customer LEFT JOIN x ON x.k = regexp_extract(c_name, '(\d+)$', 1) LEFT JOIN y ON y.k = c_nationkey",
     "request_log": f"WITH {_LOG} SELECT * FROM log",
     "unfinished_requests": f"WITH {_LOG} SELECT event_id FROM log WHERE end_id IS NULL",
     "duplicate_of": "SELECT doc_id, f AS first_doc_id FROM (SELECT doc_id, first(doc_id) OVER (PARTITION BY sha256(text) ORDER BY doc_id) AS f FROM documents WHERE text IS NOT NULL) WHERE f <> doc_id",
     "shared_between_corpora": "SELECT l_partkey, count(DISTINCT l_returnflag) AS groups FROM lineitem GROUP BY 1 HAVING count(DISTINCT l_returnflag) > 1",
-    "same_story": "WITH r AS (SELECT DISTINCT p_brand, l_partkey, l_orderkey FROM lineitem JOIN part ON l_partkey = p_partkey WHERE l_partkey < 120), n AS (SELECT p_brand, l_partkey, count(*) AS n FROM r GROUP BY ALL), p AS (SELECT a.p_brand, a.l_partkey, b.l_partkey AS other, count(*) AS shared FROM r a JOIN r b ON a.p_brand = b.p_brand AND a.l_orderkey = b.l_orderkey AND a.l_partkey < b.l_partkey GROUP BY ALL) SELECT p.*, x.n + y.n - shared AS \"union\" FROM p JOIN n x ON x.l_partkey = p.l_partkey JOIN n y ON y.l_partkey = p.other",
+    "same_story": "WITH r AS (SELECT DISTINCT p_brand, l_partkey, l_orderkey FROM lineitem JOIN part ON l_partkey = p_partkey), n AS (SELECT p_brand, l_partkey, count(*) AS n FROM r GROUP BY ALL), p AS (SELECT a.p_brand, a.l_partkey, b.l_partkey AS other, count(*) AS shared FROM r a JOIN r b ON a.p_brand = b.p_brand AND a.l_orderkey = b.l_orderkey AND a.l_partkey < b.l_partkey GROUP BY ALL) SELECT p.*, x.n + y.n - shared AS \"union\" FROM p JOIN n x ON x.l_partkey = p.l_partkey JOIN n y ON y.l_partkey = p.other",
     "replies": "SELECT a.conv_id, a.turn, a.role, b.role AS head_role FROM conversations a LEFT JOIN conversations b ON a.conv_id = b.conv_id AND a.turn = b.turn + 1",
     "taxonomy_top": "WITH RECURSIVE t AS (SELECT p_partkey AS id, CASE WHEN p_partkey = 0 THEN NULL WHEN p_partkey = 7 THEN 22 ELSE p_partkey // 3 END AS broader FROM part), w AS (SELECT id, id AS top, 0 AS depth FROM t WHERE broader IS NULL UNION ALL SELECT t.id, w.top, w.depth + 1 FROM t JOIN w ON t.broader = w.id) SELECT * FROM w",
     "holdout_frame": "SELECT doc_id FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels) AND sha256(text) NOT IN (SELECT sha256(text) FROM documents WHERE doc_id IN (SELECT doc_id FROM labels))",

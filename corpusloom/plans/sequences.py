@@ -25,7 +25,7 @@ def history(spark, d):
 
 
 def lifecycles(spark, d):
-    listed = spark.range(0, 120).select(F.col("id").alias("candidate_id"), F.lit(1704067200).cast("long").alias("first_listed"))
+    listed = table(spark, d, "customer").select(F.col("c_custkey").alias("candidate_id"), F.lit(1704067200).cast("long").alias("first_listed"))
     return S.lifecycle(listed, history(spark, d), S.Schedule(), "p1")
 
 
@@ -60,7 +60,7 @@ _LIFE = f"""{_E}, h AS (SELECT user_id AS candidate_id, event_id AS seq, s AS tt
 m AS (SELECT *, kind IN ('SUCCESS', 'NOT_MODIFIED') AND (lead(body) OVER (PARTITION BY candidate_id ORDER BY tt, seq) IS NOT DISTINCT FROM body OR lead(seq) OVER (PARTITION BY candidate_id ORDER BY tt, seq) IS NULL) AS same FROM h),
 q AS (SELECT *, bool_and(kind = 'TRANSIENT_FAILURE') OVER {_BACK} AS af, bool_and(kind IN ('NOT_FOUND', 'GONE')) OVER {_BACK} AS ag, bool_and(same) OVER {_BACK} AS asame FROM m),
 l AS (SELECT candidate_id, arg_max(kind, (tt, seq)) AS kind, max(tt) AS tt, count(*) AS attempts, count(*) FILTER (af) AS failures, count(*) FILTER (ag) AS gone, count(*) FILTER (asame) AS unchanged, min(tt) FILTER (kind IN ('SUCCESS', 'NOT_MODIFIED')) AS first_good FROM q GROUP BY 1),
-c AS (SELECT r.i AS candidate_id, l.* EXCLUDE (candidate_id) FROM range(120) r(i) LEFT JOIN l ON l.candidate_id = r.i),
+c AS (SELECT r.c_custkey AS candidate_id, l.* EXCLUDE (candidate_id) FROM customer r LEFT JOIN l ON l.candidate_id = r.c_custkey),
 life AS (SELECT candidate_id, CASE WHEN kind IS NULL THEN 'NEVER_FETCHED' WHEN kind IN ('SUCCESS', 'NOT_MODIFIED') THEN CASE WHEN tt - first_good >= 604800 THEN 'SETTLED' ELSE 'FETCHED' END WHEN kind = 'TRANSIENT_FAILURE' THEN CASE WHEN failures >= 3 THEN 'SUSPENDED' ELSE 'FAILING' END WHEN kind = 'GONE' THEN CASE WHEN gone > 2 THEN 'RETIRED' ELSE 'ABSENT' END ELSE 'REFUSED' END AS state,
  CASE WHEN kind IS NULL THEN 1704067200 WHEN kind IN ('SUCCESS', 'NOT_MODIFIED') THEN CASE WHEN tt - first_good < 604800 THEN tt + least(3600.0 * pow(2, greatest(unchanged - 1, 0)), 86400.0)::BIGINT END WHEN kind = 'TRANSIENT_FAILURE' THEN CASE WHEN failures >= 3 THEN tt + 43200 ELSE tt + least(600.0 * pow(2, failures - 1), 7200.0)::BIGINT END WHEN kind = 'GONE' THEN CASE WHEN gone <= 2 THEN tt + 86400 END ELSE tt + 172800 END AS due_at, coalesce(attempts, 0) AS attempts FROM c)"""
 
