@@ -257,7 +257,7 @@ def test_each_word_is_scored_once_and_causally():
 def test_words_of_one_first_id_share_their_probability():
     """The dictionary's words and all spelled ones together: one, but for the spelled ones that the dictionary holds."""
     speller = lm.Speller(PATH)
-    counts = {b"then": 5, b"thenx": 2, b"thenxx": 1, b"zebra": 9}
+    counts = {"then": 5, "thenx": 2, "thenxx": 1, "zebra": 9}
     rows, after = Counter(), Counter()
     for w, c in counts.items():
         ids, prev = [*speller.encode([w])[0].tolist(), lm.STOP], lm.FIRST
@@ -272,7 +272,7 @@ def test_words_of_one_first_id_share_their_probability():
     first, spelled = ids[np.cumsum(lengths) - lengths], np.exp(v.spelled(ids, lengths))
     for i in set(first):
         assert abs(np.exp(d.tail[first == i]).sum() + np.exp(d.escape[i]) * (1 - spelled[first == i].sum()) - 1) < 1e-9
-    one = speller.encode([b"then"])[0]  # what follows an id, over the whole vocabulary
+    one = speller.encode(["then"])[0]  # what follows an id, over the whole vocabulary
     every = np.append(np.arange(speller.size), speller.size)
     keys = (one[-1] << 32) + every
     share = np.where(np.isin(keys, v.pairs), 0, v.later[every] - v.held[one[-1]])
@@ -280,12 +280,31 @@ def test_words_of_one_first_id_share_their_probability():
     assert abs(np.exp(share[share != 0]).sum() + np.exp(v.pair_log[known] - v.held[one[-1]]).sum() - 1) < 1e-6
 
 
+def test_words_are_those_of_bytes():
+    import pyarrow as pa
+
+    texts = ["", " ", "a", " A  b\t\x0bC\x0c\r\nd ", "\u00a0x \x1cy\u2003", "\u00c9 \u0130I", "\n\n", "z " * 50]
+    words, lengths = lm.split_words(pa.array(texts))
+    want = [t.encode().lower().split() for t in texts]
+    assert [w.encode() for w in words.to_pylist()] == [w for t in want for w in t] and lengths.tolist() == [len(t) for t in want]
+
+
+def test_slices_hold_all_rows(monkeypatch):
+    import pyarrow as pa
+
+    monkeypatch.setattr(lm, "SLICE_BYTES", 10)
+    texts = ["abc", "", "x" * 40, "y" * 9, "", "zz", "w" * 10, ""]
+    batch = pa.record_batch({"k": list(range(8)), "text": texts})
+    parts = list(lm.slices(iter([batch, batch.slice(0, 0)])))
+    assert [t for p in parts for t in p.column(1).to_pylist()] == texts and len(parts) > 2
+
+
 def test_words_are_encoded_as_alone():
     speller = lm.Speller(PATH)
-    words = [w.encode() for w in ["the", "it's", "don't.", "zß", "x\u00a0y", "\u2003", "a,b", "…", "12ab", "\x1cq", "'s", "日本語", "e\u0301"]]
+    words = [w for w in ["the", "it's", "don't.", "zß", "x\u00a0y", "\u2003", "a,b", "…", "12ab", "\x1cq", "'s", "日本語", "e\u0301"]]
     for some in (words, words[:4], words[6:9], [words[4]], []):
         ids, lengths = speller.encode(some)
-        assert ids.tolist() == [i for w in some for i in speller.plain(" " + w.decode())] and len(lengths) == len(some)
+        assert ids.tolist() == [i for w in some for i in speller.plain(" " + w)] and len(lengths) == len(some)
 
 
 def test_windows_of_many_texts_are_those_of_each():
@@ -300,7 +319,7 @@ def test_windows_of_many_texts_are_those_of_each():
 
 def _told(spark):
     vocabulary = lm.Vocabulary.of(_rows(), 50, lm.Speller(PATH).size)
-    return spark.sparkContext.broadcast((vocabulary, lm.Dictionary.of({b"red": 3}, vocabulary, lm.Speller(PATH))))
+    return spark.sparkContext.broadcast((vocabulary, lm.Dictionary.of({"red": 3}, vocabulary, lm.Speller(PATH))))
 
 
 def test_every_training_document_is_trained_on(spark):
