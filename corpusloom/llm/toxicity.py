@@ -1,6 +1,6 @@
 """Toxicity by a weighted finite-state grammar.
 
-Five deterministic transducers read the classes of a text's words: insult, threat, target, negation and reported speech.
+Six deterministic transducers read the classes of a text's words: insult, threat, intent, target, negation and reported speech.
 Their composition, one table, says of every insult or threat in which clause it stands: plain, aimed at a target, negated,
 or reported. A text's score is a logistic function of the weights gathered for each kind of clause. Word weights and the
 function's coefficients are fitted on a bounded sample of labelled rows (FIT_ROWS); learned insults join the fixed ones
@@ -34,7 +34,7 @@ LEARNED_TEXTS, LEARNED_ODDS = 4, 20.0
 
 # Word classes of the grammar.
 INSULTS = "idiot idiots moron morons stupid scum trash loser losers clown clowns pathetic worthless disgusting imbecile vermin filth dumb garbage crétin connard abruti salaud dummkopf trottel abschaum idioten estúpido imbécil basura escoria"
-THREATS = "kill hurt destroy beat shoot stab hang burn crush die tuer frapper brûler crever töten schlagen umbringen erschießen matar golpear quemar morir"
+THREATS = "kill hurt destroy beat shoot stab hang burn crush tuer frapper brûler crever töten schlagen umbringen erschießen matar golpear quemar morir"
 INTENT = "will gonna going shall must should deserve vais vas va doit werde wirst soll voy vas debe"
 TARGETS = "you your yours yourself u he she they them him her these those people tu toi vous ton votre du dich dir euch ihr sie usted ustedes tú ti ellos"
 NEGATIONS = "not no never n't isn't aren't wasn't don't doesn't didn't ne pas jamais nicht kein keine nie nunca jamás ni"

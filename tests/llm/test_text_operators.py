@@ -11,6 +11,7 @@ import public_tokenizers
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from corpusloom.llm import bpe_trie, media, packing, quality_rules, toxicity
@@ -261,3 +262,43 @@ def test_toxicity_of_rare_languages(spark):
     got = {r.doc_id: r for r in toxicity.score_toxicity(spark.createDataFrame(docs, SCHEMA), model).collect()}
     held = [k for k in got if got[k].held_out]
     assert any(k % 100 == 0 for k in held) and all(got[k].predicted == labels[k][2] for k in held)
+
+
+def test_toxic_documents_of_each_language_are_caught(spark):
+    """Held-out labelled rows of sf0.1: recall by language, and clean rows left alone."""
+    sf = "/root/testdata/sf0.1"
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    rows = toxicity.toxicity(spark, docs, sf).where("held_out").join(spark.read.parquet(f"{sf}/labels.parquet"), "doc_id").join(docs.select("doc_id", "lang"), "doc_id")
+    got = {(r.lang, r.toxic): (r.n, r.hit) for r in rows.groupBy("lang", "toxic").agg(F.count("*").alias("n"), F.sum("predicted").alias("hit")).collect()}
+    for (lang, toxic), (n, hit) in got.items():
+        assert hit >= 0.85 * n if toxic else hit <= 0.01 * n, (lang, toxic, n, hit)
+    assert {lang for lang, _ in got} == {"en", "fr", "de", "es"}
+
+
+def test_clause_sums_are_those_of_plain_rules():
+    """The composed machine against windows of words read plainly."""
+    rng = random.Random(11)
+    classes = toxicity.base_classes()
+    words = ["idiot", "kill", "will", "you", "not", "said", "tree", "scum", "tree", "house"]
+    ends = ["", "", "", "", ",", "."]
+    tool = toxicity.Grammar({"scum": 2.5})
+    for _ in range(300):
+        raw = [(rng.choice(words), rng.choice(ends)) for _ in range(rng.randint(1, 25))]
+        want = dict.fromkeys(toxicity.KINDS, 0.0)
+        for at, (w, _) in enumerate(raw):
+            c = classes[w] if w in classes else toxicity.OTHER
+            if c not in (toxicity.INSULT, toxicity.THREAT):
+                continue
+            start = next((k + 1 for k in range(at - 1, -1, -1) if raw[k][1]), 0)  # the clause
+            sentence = next((k + 1 for k in range(at - 1, -1, -1) if raw[k][1] == "."), 0)
+            seen = lambda word, reach: word in [x for x, _ in raw[max(start, at - reach + 1) : at]]  # noqa: B023, E731
+            if "said" in [x for x, _ in raw[sentence:at]]:
+                kind = "reported"
+            elif seen("not", 4):
+                kind = "negated"
+            elif c == toxicity.THREAT:
+                kind = "threat" if seen("will", 4) or seen("you", 5) else "bare_threat"
+            else:
+                kind = "aimed" if seen("you", 5) else "plain"
+            want[kind] += 2.5 if w == "scum" else 1.0
+        assert tool.features(" ".join(w + e for w, e in raw)) == [want[k] for k in toxicity.KINDS]
