@@ -1,7 +1,8 @@
 """The corpus pipeline: quality rules, toxicity, near-duplicates, repeated passages, packing.
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame, which is written as Parquet and read again as the docs of the
-next. All but the last return the columns of documents. Clean documents pass every filter unchanged.
+next. All but the last return the columns of documents. A document leaves only by a rule, a score or an earlier near-duplicate;
+one that stays may lose passages that an earlier document holds.
 """
 
 from __future__ import annotations
