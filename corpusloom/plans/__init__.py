@@ -6,10 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from corpusloom.plans import estimates, html, intake, joins, pages, quality, reuse, sampling, selection, sequences
+from corpusloom.plans import estimates, html, intake, joins, pages, quality, records, reuse, sampling, selection, sequences
 
 #: Modules of this package with QUERIES and ORACLE.
-MODULES = (reuse, quality, selection, sequences, joins, sampling, estimates, pages, html, intake)
+MODULES = (reuse, quality, selection, sequences, joins, sampling, estimates, pages, html, intake, records)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
