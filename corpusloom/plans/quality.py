@@ -114,7 +114,7 @@ p AS (SELECT page_id, coalesce(sum(said) FILTER (body), 0)::BIGINT AS words, coa
  count(*) FILTER (body AND recurs) AS recurring, count(*) FILTER (body AND i > 0 AND said <= 3 AND NOT regexp_matches(text, '[.!?…:;»”")]\s*$')) AS labels FROM b2 GROUP BY page_id),
 m AS (SELECT doc_id AS page_id, characters, coalesce(n_chars, 0) * (doc_id % 4) AS stated FROM f JOIN (SELECT doc_id, n_chars FROM z) USING (doc_id)),
 q AS (SELECT *, array_to_string(list_filter([CASE WHEN addresses > 0 THEN 'address_or_path' END, CASE WHEN credits > 0 THEN 'credit_opening' END, CASE WHEN recurring > 0 THEN 'recurring_text' END, CASE WHEN labels >= 3 THEN 'label_blocks' END], lambda x: x IS NOT NULL), ',') AS signals FROM p JOIN m USING (page_id))
-SELECT page_id, CASE WHEN words = 0 OR (words_before >= 50 AND words <= (1 - 0.9) * words_before) THEN 'not_article' WHEN stated >= 1000 AND characters < 0.5 * stated THEN 'incomplete' WHEN signals <> '' THEN 'residual_suspect' WHEN selected > 0 THEN 'cleaned' ELSE 'clean' END AS state, signals, words, words_before FROM q"""
+SELECT page_id, CASE WHEN words = 0 OR (words_before >= 50 AND words <= (1 - 0.9::DOUBLE) * words_before) THEN 'not_article' WHEN stated >= 1000 AND characters < 0.5 * stated THEN 'incomplete' WHEN signals <> '' THEN 'residual_suspect' WHEN selected > 0 THEN 'cleaned' ELSE 'clean' END AS state, signals, words, words_before FROM q"""
 
 QUERIES = {
     "gate_by_version": gate_by_version,
