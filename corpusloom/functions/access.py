@@ -66,9 +66,14 @@ def allowance(new_24h: Column) -> Column:
     return F.least(F.lit(30), F.greatest(F.lit(3), F.ceil(1.5 * new_24h / 24)))
 
 
-def novelty(first_seen: Column, dated: Column, started: Column, first_poll_done: Column) -> Column:
-    """new_in_window, undated_new, first_poll_backlog, dated_before or seen_before."""
-    return F.when(first_seen < started, "seen_before").when(dated >= started, "new_in_window").when(~first_poll_done, "first_poll_backlog").when(dated.isNull(), "undated_new").otherwise("dated_before")
+def novelty(first_listed: Column, published: Column, started: Column, first_poll_done: Column) -> Column:
+    """What a candidate is to an intake that began at `started`: what its channel dates inside the window is new; what it dates
+    before is older; without a date, the stock of its channel's first poll (done at first_poll_done, or not yet) is not new."""
+    stock = first_poll_done.isNull() | (first_listed <= first_poll_done)
+    return (
+        F.when(first_listed < started, "known_before_intake").when(published.isNotNull(), F.when(published >= started, "new_dated_in_window").otherwise("older_than_window"))
+        .when(stock, "first_poll_undated").otherwise("new_undated_later_poll")
+    )
 
 
 def weakest(*labels: Column) -> Column:

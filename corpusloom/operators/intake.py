@@ -29,6 +29,7 @@ def hint_instant(text: Column) -> Column:
     """A stated date as a timestamp: ISO 8601 (a day is its midnight) or the form of mail headers; without an offset it is UTC."""
     plain = F.trim(text)
     iso = F.when(plain.rlike(r"^\d{4}-\d{2}-\d{2}(?:[T ]\d{2}:\d{2}(?::\d{2}(?:[.,]\d{1,6})?)?\s*(?:Z|[+-]\d{2}:?\d{2})?)?$"), F.regexp_replace(F.regexp_replace(F.regexp_replace(plain, ",", "."), r"\s*([+-]\d{2}):?(\d{2})$", "$1:$2"), r"^(\d{4}-\d{2}-\d{2}) ", "$1T"))
+    iso = F.regexp_replace(iso, r"^(.{10}T\d{2}:\d{2})(?=$|Z|[+-])", "$1:00")
     zoned = F.when(iso.rlike(r"(?:Z|[+-]\d{2}:\d{2})$"), iso).when(F.length(iso) == 10, F.concat(iso, F.lit("T00:00:00Z"))).otherwise(F.concat(iso, F.lit("Z")))
     mail = F.regexp_replace(plain, r"^(?:[A-Za-z]{3},\s*)?", "")
     zone = F.regexp_extract(mail, r"\s([A-Za-z]{1,3}|[+-]\d{4})$", 1)

@@ -44,13 +44,13 @@ def waves_used(baselines: DataFrame, authorization: object, but: object = None)
     return (own.where(~F.col("manifest").eqNullSafe(F.lit(but))) if but is not None else own).select("wave").where("wave is not null").distinct()
 
 
-def population(rows: DataFrame, buckets: int = 256) -> DataFrame:
+def population(rows: DataFrame, digits: int = 2) -> DataFrame:
     """Per outlet: members, first and last time, and a digest of the set of ids that does not depend on their order.
 
-    rows: outlet, id, at. Ids are dealt to buckets by their hash; the digest is over the sorted buckets' digests, so that no row
+    rows: outlet, id, at. Ids are dealt to buckets by the first digits of their hashes; the digest is over the sorted buckets' digests, so that no row
     holds all ids of an outlet.
     """
-    part = rows.groupBy("outlet", F.pmod(F.crc32(F.col("id").cast("string").cast("binary")), F.lit(buckets)).alias("bucket")).agg(
+    part = rows.groupBy("outlet", F.left(F.sha2(F.col("id").cast("string"), 256), F.lit(digits)).alias("bucket")).agg(
         F.count("*").alias("n"), F.min("at").alias("first"), F.max("at").alias("last"), F.sha2(F.array_join(F.array_sort(F.collect_list(F.col("id").cast("string"))), "\n"), 256).alias("sha"),
     )
     digest = F.sha2(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("bucket", "sha"))), lambda x: x["sha"]), "\n"), 256)

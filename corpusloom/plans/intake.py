@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from corpusloom.functions import access as A
 from corpusloom.operators import evaluate as V
 from corpusloom.operators import intake as I
 from corpusloom.plans.sequences import events
@@ -50,6 +51,13 @@ def due(spark, d):
     return made.select("candidate_id", kind.alias("class"), F.col("at").alias("published"), F.col("event_id").alias("first_listed"))
 
 
+def novelties(spark, d):
+    """Events as first listings: dates are days before or after, and a channel's first poll ended at a time of its own."""
+    i, s = F.col("event_id"), F.col("s")
+    rows = _base(spark, d).select("event_id", A.novelty(s, F.when(i % 3 != 0, s + (i % 7 - 3) * 86400), F.lit(NOW - 1500000), F.when(i % 5 != 0, F.lit(NOW - 500000))).alias("class"))
+    return rows
+
+
 def qualification(spark, d):
     return I.qualification_order(due(spark, d).select("candidate_id", "first_listed"), listed(spark, d), 3)
 
@@ -195,6 +203,7 @@ QUERIES = {
     "channel_coverage": lambda spark, d: I.coverage(inputs(spark, d), listed(spark, d), first_events(spark, d)),
     "channel_frontier": lambda spark, d: I.frontier(inputs(spark, d), listed(spark, d)),
     "unchanged_children": lambda spark, d: I.read_unchanged(inputs(spark, d), listed(spark, d), 4),
+    "novelty_classes": novelties,
     "intake_order": lambda spark, d: I.intake_order(due(spark, d), 30),
     "qualification_order": qualification,
     "pending_packs": packs,
@@ -217,6 +226,7 @@ QUERIES = {
     "targeted_draw": drawn,
 }
 ORACLE = {
+    "novelty_classes": f"WITH {_B} SELECT event_id, CASE WHEN s < {NOW - 1500000} THEN 'known_before_intake' WHEN event_id % 3 <> 0 THEN CASE WHEN s + (event_id % 7 - 3) * 86400 >= {NOW - 1500000} THEN 'new_dated_in_window' ELSE 'older_than_window' END WHEN event_id % 5 = 0 OR s <= {NOW - 500000} THEN 'first_poll_undated' ELSE 'new_undated_later_poll' END AS class FROM b",
     "channel_coverage": f"""WITH {_L}, n AS (SELECT l.*, relation = 'item' AS item, l.candidate_id IS NOT NULL AND relation = 'item' AS kept, f.event_id IS NOT NULL AS made FROM l LEFT JOIN f USING (event_id)),
 c AS (SELECT channel_id, count(*) FILTER (item) AS items, count(*) FILTER (kept) AS items_kept, count(DISTINCT candidate_id) FILTER (kept) AS candidates, count(*) FILTER (item AND dropped) AS items_dropped, count(*) FILTER (kept AND made) AS items_new, min(tm) FILTER (kept) AS kept_from, max(tm) FILTER (kept) AS kept_to, min(tm) FILTER (kept AND made) AS new_from FROM n GROUP BY 1),
 t AS (SELECT channel_id, count(*) FILTER (tm > kept_from) AS a, count(*) FILTER (tm > new_from) AS b FROM n JOIN c USING (channel_id) WHERE item AND dropped AND tm IS NOT NULL GROUP BY 1), q AS (SELECT channel_id, count(*) AS documents, count(*) FILTER (outcome = 'parsed') AS documents_parsed FROM i GROUP BY 1),

@@ -67,6 +67,7 @@ ORACLE = {
     "totals_differ": "WITH a AS (SELECT o_custkey AS k, count(*) AS orders, sum(round(o_totalprice * 100)::BIGINT)::BIGINT AS cents FROM orders GROUP BY 1), m AS (SELECT k, 'orders' AS measure, CASE WHEN k % 17 <> 3 THEN orders + CASE WHEN k % 11 = 0 THEN 1 ELSE 0 END END AS stated, orders AS found FROM a UNION ALL SELECT k, 'cents', CASE WHEN k % 17 <> 3 THEN cents - CASE WHEN k % 13 = 0 THEN 5 ELSE 0 END END, cents FROM a) SELECT * FROM m WHERE stated IS DISTINCT FROM found",
     "restorable": "SELECT l_orderkey % 8 AS release, CASE WHEN l_orderkey % 8 = 5 THEN 'no_release' WHEN l_linenumber % 4 = 3 THEN 'no_document' WHEN l_partkey % 9 = 0 THEN 'other_content' END AS problem, count(*) AS documents FROM (SELECT l_orderkey, l_linenumber, min(l_partkey) AS l_partkey FROM lineitem GROUP BY ALL) GROUP BY ALL",
     "legacy_aliases": "WITH r AS (SELECT s_suppkey AS outlet, s_nationkey AS country, unnest([(s_suppkey % 5)::VARCHAR, (s_suppkey % 3)::VARCHAR]) AS slug FROM supplier) SELECT DISTINCT country, slug, outlet FROM (SELECT c_nationkey AS country, (c_custkey % 6)::VARCHAR AS slug FROM customer) JOIN r USING (country, slug)",
+    "population_manifest": "WITH p AS (SELECT coalesce(source, '') AS outlet, sha256(doc_id::VARCHAR)[1:2] AS bucket, count(*) AS n, min(coalesce(n_chars, 0)) AS f, max(coalesce(n_chars, 0)) AS l, sha256(string_agg(doc_id::VARCHAR, chr(10) ORDER BY doc_id::VARCHAR)) AS sha FROM documents GROUP BY ALL) SELECT outlet, sum(n)::BIGINT AS members, min(f) AS \"first\", max(l) AS \"last\", sha256(string_agg(sha, chr(10) ORDER BY bucket)) AS ids_sha256 FROM p GROUP BY outlet",
     "waves_used": "SELECT DISTINCT o_orderkey % 5000 AS wave FROM orders WHERE o_orderpriority = '1-URGENT' AND o_custkey % 20 <> 7",
     "channel_expansion": f"WITH e AS (SELECT * FROM (SELECT p_partkey AS parent, unnest([p_partkey * 2 + 1, p_partkey * 3 % 1999, p_partkey - 5]) AS url, p_partkey % 10 AS rank FROM part) WHERE url >= 0), l0 AS (SELECT i AS u, 0 AS level, NULL::BIGINT AS parent FROM range(2) r(i)), {', '.join(_LEVEL(k) for k in range(1, 5))} SELECT u AS url, level, parent FROM l4",
     "ranked": "SELECT c_mktsegment, c_custkey, ntile(7) OVER w AS tile, round(percent_rank() OVER w * 1000000)::BIGINT AS percent, round(avg(c_acctbal) OVER (PARTITION BY c_mktsegment ORDER BY c_acctbal, c_custkey ROWS BETWEEN 1 PRECEDING AND 1 FOLLOWING) * 100)::BIGINT AS around FROM customer WINDOW w AS (PARTITION BY c_mktsegment ORDER BY c_acctbal, c_custkey)",

@@ -164,3 +164,24 @@ def test_compressed_bodies_are_whole_or_refused(monkeypatch):
         for body, reason in ((pack(whole + b"a"), "size limit"), (pack(whole)[:-6], "incomplete"), (b"\xff\xffplain", encoding)):
             with pytest.raises(html.Undecodable, match=reason):
                 html.decoded(body, encoding)
+
+
+def test_redirects_outcomes_and_labels(spark):
+    from corpusloom.operators import sequences
+
+    f = lambda p: one(spark, access.redirect_class(F.col("p")), p=p)
+    assert f("/Login/x") == "login_redirect" and f("/a/b") is None
+    rows = [("DENIED", 200, None, False, "DENIED_BY_POLICY"), ("DEFERRED", None, None, False, "DEFERRED_BY_POLICY"), (None, 200, None, False, "TRANSIENT_FAILURE"), ("FETCHED", 301, "u", False, "MOVED_PERMANENTLY"), ("FETCHED", 204, None, False, "SUCCESS"), ("FETCHED", 304, None, True, "NOT_MODIFIED"), ("FETCHED", 304, None, False, "TRANSIENT_FAILURE"), ("FETCHED", 404, None, False, "NOT_FOUND"), ("FETCHED", 410, None, False, "GONE"), ("FETCHED", 429, None, False, "TRANSIENT_FAILURE"), ("FETCHED", 302, None, False, "REDIRECT_NOT_FOLLOWED"), ("FETCHED", 403, None, False, "REFUSED_BY_SERVER")]
+    df = spark.createDataFrame(rows, "final string, status int, moved string, again boolean, want string")
+    assert df.where(~sequences.outcome(F.col("final"), F.col("status"), F.col("moved"), F.col("again")).eqNullSafe(F.col("want"))).count() == 0
+    w = lambda *x: one(spark, access.weakest(*[F.lit(v) for v in x]), k=1)
+    assert w("measured", "assumed") == "assumed" and w("measured", "estimated") == "estimated" and w("measured", "measured") == "measured"
+
+
+def test_hints_and_waits_beyond_the_tables(spark):
+    from corpusloom.operators import intake
+
+    f = lambda t: spark.createDataFrame([(t,)], "t string").select(F.unix_seconds(intake.hint_instant(F.col("t"))).alias("x")).first().x
+    assert f("2026-01-02") == 1767312000 and f("2026-01-02T01:00:00.5+01:00") == 1767312000 and f("2026-01-02 00:00") == 1767312000
+    assert f("Fri, 02 Jan 2026 00:00:00 GMT") == 1767312000 and f("2 Jan 2026 01:00 +0100") == 1767312000 and f("Thu, 01 Jan 2026 19:00:00 EST") == 1767312000
+    assert all(f(t) is None for t in (None, "", "soon", "2026-13-40", "2026"))

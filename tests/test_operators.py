@@ -179,3 +179,19 @@ def test_scratch_tables_can_be_cleared(spark):
     assert os.path.isdir(path)
     session.clear_scratch(spark)
     assert not os.path.exists(path)
+
+
+def test_collisions_severity_precedence_and_words(spark):
+    paths = spark.createDataFrame([("a/B",), ("A/b",), ("c",), ("c",)], "p string")
+    found = checks.case_collisions(paths, "paths", "p")
+    assert [(r.key, r.detail) for r in found.collect()] == [("a/b", "paths: 2")]
+    state = lambda df: checks.severity(df, ("broken",), ("paths",)).first().state
+    assert state(found) == "NEEDS_REPAIR" and state(found.limit(0)) == "CLEAN" and state(found.withColumn("check", F.lit("broken"))) == "DAMAGED" and state(found.withColumn("check", F.lit("other"))) == "RESUMABLE"
+    rows = spark.createDataFrame([(1, 2, "b", "meta"), (1, 1, "a", "ld"), (2, 1, "x", "ld"), (2, 1, "y", "ld"), (3, 1, None, "ld"), (3, 4, "z", "og")], "k int, r int, v string, basis string")
+    got = {r.k: (r.v, r.basis, r.conflict) for r in compare.by_precedence(rows, "k", F.col("r"), "v", "basis").collect()}
+    assert got == {1: ("a", "ld", False), 2: ("x", "ld", True), 3: ("z", "og", False)}
+    texts = spark.createDataFrame([("a b c d", "a b x d"), (None, "a"), ("a", "a")], "x string, y string")
+    assert [round(r.q, 3) for r in texts.select(compare.word_ratio("x", "y").alias("q")).collect()] == [0.75, 0.0, 1.0]
+    blocks = spark.createDataFrame([("o", b, d) for b, ds in ((1, "tu"), (2, "tu"), (3, "tv"), (4, "tw"), (5, "tx")) for d in ds], "outlet string, body int, digest string")
+    got = {r.digest: r.unrelated for r in compare.unrelated_templates(blocks, "outlet", "body", "digest", 3).collect()}
+    assert got == {"t": 4}  # bodies 1 and 2 share a second block and count once
