@@ -64,6 +64,39 @@ def test_bpe_query_rows(spark, odd):
     assert bpe_trie.bpe_round_trip(odd.limit(0), WORD).count() == 0
 
 
+def test_trie_asks_only_for_needed_states(monkeypatch):
+    library, rng = Tokenizer.from_file(WORD), random.Random(4)
+    parts = ["th", "ing", "on", "an", "er", "ciónn", "è", "eau", "ß", "schie", "re", "ou"]
+    words = {"".join(rng.choices(parts, k=rng.randint(1, 6))) for _ in range(2000)} | {"".join(rng.choices("abeinost", k=n)) for n in (255, 256, 257, 5000)}
+    coder, asked = bpe_trie.TrieCoder(WORD), Counter()
+    real = bpe_trie.TrieCoder.last_token
+    monkeypatch.setattr(bpe_trie.TrieCoder, "last_token", lambda self, word, end, states: asked.update([word[:end]]) or real(self, word, end, states))
+    short = {coder.symbols(w): w for w in words if len(w) < 200}
+    got = coder.encode_words(short)
+    assert all(list(got[s]) == library.encode(w, add_special_tokens=False).ids for s, w in short.items())
+    nodes = {s[:k] for s in short for k in range(1, len(s) + 1)}
+    assert set(asked) <= nodes and max(asked.values()) <= 2 and sum(asked.values()) < 0.8 * len(nodes)
+    for w in words:
+        assert list(coder.encode_words([coder.symbols(w)])[coder.symbols(w)]) == library.encode(w, add_special_tokens=False).ids
+
+
+def test_memory_generations(monkeypatch):
+    for name in ("MEMO_WORDS", "MEMO_CHUNKS"):
+        monkeypatch.setattr(bpe_trie, name, 20)
+    library, coder, rng = Tokenizer.from_file(WORD), bpe_trie.TrieCoder(WORD), random.Random(5)
+    marks = ["", ",", "...", "'s", "'", "%%%", "$1", "é!", "÷", "\x00", "_", "²", "ŉ", "<|endoftext|>", "\x85", "日本"]
+    for _ in range(60):
+        lot = [" ".join("".join(rng.choices("aénßtoƀ", k=rng.randint(0, 3))) + rng.choice(marks) + rng.choice(["", "re"]) for _ in range(12)) for _ in range(4)]
+        assert [[i for x in text for i in x[3]] for text in coder.code(lot)] == [library.encode(t, add_special_tokens=False).ids for t in lot]
+
+
+def test_every_code_point_is_the_library():
+    library, coder = Tokenizer.from_file(WORD), bpe_trie.TrieCoder(WORD)
+    newest = [0x88F, 0xC5C, 0xCDC, 0x1C89, 0xA7CB, 0xA7D2, 0x16EB6]  # letters of Unicode 16 and 17, of which Python, regex and the library may know different ones
+    lot = [f"a{chr(k)}b {chr(k)}%{chr(k)} x" for k in [*newest, *range(1, 0xD800, 7), *range(0xE000, 0x110000, 101)]]
+    assert [[i for x in text for i in x[3]] for text in coder.code(lot)] == [e.ids for e in library.encode_batch(lot, add_special_tokens=False)]
+
+
 def brute_quality(text):
     words = [w for w in __import__("re").findall(rb"[^\x20\x09-\x0D]+", (text or "").encode())]
     threes = Counter(zip(words, words[1:], words[2:]))
