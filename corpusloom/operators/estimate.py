@@ -3,8 +3,12 @@ intervals, nth-element percentiles, bag overlap. Everything is grouped sums; onl
 
 from __future__ import annotations
 
+from collections import Counter
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType
 
 Z95 = 1.959964
 # Student's t, 97.5 % quantile, 1 to 30 degrees of freedom.
@@ -82,6 +86,16 @@ def nth(df: DataFrame, group: list[str], value: str, index: Column, name: str) -
     return ranked.where(F.col("at") == index).select(*group, F.col(value).alias(name))
 
 
+@F.pandas_udf(LongType())
+def _shared(candidate: pd.Series, reference: pd.Series) -> pd.Series:
+    return pd.Series([sum((Counter(a.split()) & Counter(b.split())).values()) for a, b in zip(candidate, reference)], dtype="int64")
+
+
+def bag_overlap(candidate: Column, reference: Column) -> Column:
+    """Tokens that two arrays of a row share, each as often as both have it; tokens hold no white space. Nothing is shuffled."""
+    return _shared(F.array_join(candidate, " "), F.array_join(reference, " "))
+
+
 def overlap(pairs: DataFrame) -> DataFrame:
     """Bag overlap of two token arrays: id, kept, missing, excess. pairs: id, candidate, reference."""
     def bag(side: str) -> DataFrame:

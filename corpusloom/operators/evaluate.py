@@ -6,7 +6,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusloom.functions import text as T
-from corpusloom.operators.estimate import overlap
+from corpusloom.operators.estimate import bag_overlap
+
+
+def tokens(column: str) -> Column:
+    return T.words(F.coalesce(F.col(column), F.lit("")))
 
 
 def scored(outputs: DataFrame, references: DataFrame, lost_below: float, width: int = 10) -> DataFrame:
@@ -14,12 +18,15 @@ def scored(outputs: DataFrame, references: DataFrame, lost_below: float, width:
 
     outputs: case_id, arm, outcome, title, body (null: no output). references: case_id, title, body.
     """
-    tokens = lambda c: T.words(F.coalesce(F.col(c), F.lit("")))
-    clean = lambda c: F.trim(F.regexp_replace(F.coalesce(F.col(c), F.lit("")), r"\s+", " "))
     ref = references.select("case_id", F.col("title").alias("r_title"), tokens("body").alias("r"))
-    rows = outputs.select("case_id", "arm", F.concat_ws(":", "case_id", "arm").alias("id"), "outcome", "title", tokens("body").alias("c")).join(ref, "case_id")
-    kept = overlap(rows.select("id", F.col("c").alias("candidate"), F.col("r").alias("reference"))).select("id", "kept")
-    rows = rows.join(kept, "id", "left").withColumns({"n": F.size("c"), "m": F.size("r"), "shared": F.coalesce("kept", F.lit(0))})
+    return scored_beside(outputs.join(ref, "case_id"), lost_below, width)
+
+
+def scored_beside(rows: DataFrame, lost_below: float, width: int = 10) -> DataFrame:
+    """The same for rows that hold their reference, without a shuffle. rows: case_id, arm, outcome, title, body, r_title, r (the reference's tokens)."""
+    clean = lambda c: F.trim(F.regexp_replace(F.coalesce(F.col(c), F.lit("")), r"\s+", " "))
+    rows = rows.withColumn("c", tokens("body"))
+    rows = rows.withColumns({"n": F.size("c"), "m": F.size("r"), "shared": bag_overlap(F.col("c"), F.col("r"))})
     end = lambda w: F.slice(w, F.greatest(F.lit(1), F.size(w) - (width - 1)), F.lit(width))
     retention = F.when(F.col("m") > 0, F.col("shared") / F.col("m"))
     bad = (
@@ -28,7 +35,7 @@ def scored(outputs: DataFrame, references: DataFrame, lost_below: float, width:
     )
     has = F.col("m") > 0
     return rows.select(
-        "case_id", "arm", F.col("m").cast("long").alias("reference_tokens"), F.col("n").cast("long").alias("candidate_tokens"), F.col("shared").cast("long").alias("shared_tokens"),
+        "case_id", "arm", F.col("m").cast("long").alias("reference_tokens"), F.col("n").cast("long").alias("candidate_tokens"), F.col("shared").alias("shared_tokens"),
         (clean("title") == clean("r_title")).alias("title_correct"), F.when(has, F.slice("c", 1, width) == F.slice("r", 1, width)).alias("start_matches"), F.when(has, end(F.col("c")) == end(F.col("r"))).alias("end_matches"), bad.alias("catastrophe"),
     )
 
