@@ -2,8 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import LongType, StructField, StructType
 
 
 def orphans(child: DataFrame, parent: DataFrame, key: str, parent_key: str | None = None) -> DataFrame:
@@ -20,16 +25,49 @@ def reconciled(stated: DataFrame, found: DataFrame, key: str, content: str) -> D
 
 
 def containing_interval(points: DataFrame, spans: DataFrame, point: str, key: list[str], bucket: int) -> DataFrame:
-    """The span [start, end] that contains each point, the latest started one where several do (then the greatest span_id).
+    """The span [start, end] that contains each key's points, the latest started one where several do (then the greatest span_id).
 
-    points: key columns and the point (an integer); spans: span_id, start, end. Spans are dealt to buckets of the given width,
-    so that the join is an equality; choose a width near the usual span. Points in no span come with a null span_id.
+    points: key columns and the point (an integer); spans: span_id, start, end. Spans are dealt to buckets of the given width, so
+    choose a width near the usual span; each bucket is one sorted pass, in which no span meets a point but the one that it gets.
+    Points in no span come with a null span_id.
     """
-    dealt = spans.withColumn("bucket", F.explode(F.sequence(F.floor(F.col("start") / bucket), F.floor(F.col("end") / bucket))))
-    at = points.withColumn("bucket", F.floor(F.col(point) / bucket))
-    hit = at.join(dealt, "bucket").where(F.col(point).between(F.col("start"), F.col("end")))
-    best = hit.groupBy(*key).agg(F.max(F.struct("start", "span_id"))["span_id"].alias("span_id"))
-    return points.select(*key).join(best, key, "left")
+    width = F.lit(bucket)
+    place = lambda c: F.floor(F.col(c) / width)
+    real = spans.where("start <= end").select("span_id", F.col("start").cast("long").alias("start"), F.col("end").cast("long").alias("end"))
+    nothing = lambda df, *names: [F.lit(None).cast(df.schema[n].dataType).alias(n) for n in names]
+    dealt = real.select(F.explode(F.sequence(place("start"), place("end"))).alias("bucket"), F.col("start").alias("at"), F.lit(0).alias("asks"), "span_id", "end", *nothing(points, *key))
+    asked = points.select(place(point).alias("bucket"), F.col(point).cast("long").alias("at"), F.lit(1).alias("asks"), *nothing(real, "span_id", "end"), *key)
+    rows = dealt.unionByName(asked).repartition("bucket").sortWithinPartitions("bucket", "at", "asks", "span_id")
+    schema = StructType([*[points.schema[c] for c in key], StructField("start", LongType()), StructField("span_id", spans.schema["span_id"].dataType)])
+    best = rows.select("bucket", "at", "asks", "span_id", "end", *key).mapInArrow(_latest_open(to_arrow_schema(schema), key), schema)
+    return best.groupBy(*key).agg(F.max(F.when(F.col("start").isNotNull(), F.struct("start", "span_id")))["span_id"].alias("span_id"))
+
+
+def _latest_open(schema: pa.Schema, key: list[str]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Each point of sorted rows with the last started span that is still open. Of the spans met so far only those are kept that end
+    after all that started later: a stack, its ends falling, whose top is the answer once what has ended is taken off."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        here, stack = None, []
+        for batch in batches:
+            take, starts, ids = [], [], []
+            bucket, at, asks, span, end = [batch.column(c).to_pylist() for c in ("bucket", "at", "asks", "span_id", "end")]
+            for i in range(batch.num_rows):
+                if bucket[i] != here:
+                    here, stack = bucket[i], []
+                if asks[i]:
+                    while stack and stack[-1][0] < at[i]:
+                        stack.pop()
+                    take.append(i)
+                    starts.append(stack[-1][1] if stack else None)
+                    ids.append(stack[-1][2] if stack else None)
+                else:
+                    while stack and stack[-1][0] <= end[i]:
+                        stack.pop()
+                    stack.append((end[i], at[i], span[i]))
+            kept = batch.take(pa.array(take, pa.int64()))
+            yield pa.record_batch([*[kept.column(c).cast(schema.field(c).type) for c in key], pa.array(starts, pa.int64()), pa.array(ids, schema.field("span_id").type)], schema=schema)
+
+    return run
 
 
 def next_match(df: DataFrame, key: str, at: str, item: str, asks: Column, name: str) -> DataFrame:
