@@ -35,7 +35,8 @@ def restorable(selected: DataFrame, pinned: DataFrame) -> DataFrame:
 
 def aliases(rows: DataFrame, registry: DataFrame) -> DataFrame:
     """Every registered outlet that an old name stands for: all matches, none chosen. rows: country, slug. registry: outlet, country, slugs (array)."""
-    return rows.join(registry.select("outlet", "country", F.explode("slugs").alias("slug")), ["country", "slug"]).select("country", "slug", "outlet").distinct()
+    asked = rows.select("country", "slug").distinct()  # a name is joined once, however many rows have it
+    return registry.select("outlet", "country", F.explode("slugs").alias("slug")).join(asked, ["country", "slug"], "left_semi").select("country", "slug", "outlet").distinct()
 
 
 def waves_used(baselines: DataFrame, authorization: object, but: object = None) -> DataFrame:
