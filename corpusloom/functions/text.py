@@ -51,8 +51,10 @@ def canonical(text: Column) -> Column:
 
 
 def grams(words_: Column, n: int) -> Column:
-    """Space-joined n-grams in order, with repeats; none below n words."""
-    return F.when(F.size(words_) >= n, F.transform(F.sequence(F.lit(1), F.size(words_) - (n - 1)), lambda i: F.array_join(F.slice(words_, i, n), " "))).otherwise(F.array().cast("array<string>"))
+    """Space-joined n-grams in order, with repeats; none below n words. The words are bound once: an expression named inside the
+    inner function would be worked out again for each n-gram."""
+    joined = lambda w: F.transform(F.sequence(F.lit(1), F.size(w) - (n - 1)), lambda i: F.array_join(F.slice(w, i, n), " "))
+    return F.transform(F.array(words_), lambda w: F.when(F.size(w) >= n, joined(w)).otherwise(F.array().cast("array<string>")))[0]
 
 
 def short_hash(text: Column) -> Column:
